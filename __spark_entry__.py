@@ -48,6 +48,7 @@ from veclode.operators.tfidf import (  # noqa: E402
 from veclode.operators.vocabulary import keep_vocab, top_fraction_vocab, word_count  # noqa: E402
 from veclode.plans.jobs import text_tfidf, title_points  # noqa: E402
 from veclode.sources.bibliography import article_fields  # noqa: E402
+from veclode.session import spread_small  # noqa: E402
 from veclode.sources.tables import keyed_fields, labeled_fields  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -63,8 +64,13 @@ SPLIT_SEED = 7
 TERM_FRACTION = 0.05
 
 
+# Tables with costly work per row.
+HEAVY = ("documents", "embeddings", "lineitem", "pages")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_small(table) if name in HEAVY else table
 
 
 # --- text -------------------------------------------------------------------------
@@ -184,9 +190,7 @@ def bibliography_titles(spark, sf_dir):
         .select("page_id", "r.*")
     )
     points = title_points(articles, 1000)
-    return points.select("page_id", "label", F.inline(V.entries(F.col("features")))).toDF(
-        "page_id", "label", "idx", "tf"
-    )
+    return _entries(points, "page_id", "label", value="tf")
 
 
 # --- vectors ----------------------------------------------------------------------
@@ -209,7 +213,7 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _entries(df: DataFrame, *keys: str, value: str = "value") -> DataFrame:
-    return df.select(*keys, F.inline(V.entries(F.col("features")))).toDF(*keys, "idx", value)
+    return df.select(*keys, V.inline_entries(F.col("features"))).toDF(*keys, "idx", value)
 
 
 def dimension_variance(spark, sf_dir):
@@ -220,7 +224,7 @@ def dimension_variance(spark, sf_dir):
 def dimension_select(spark, sf_dir):
     vectors = _embeddings(spark, sf_dir)
     chosen = TopVarianceSelector(10).fit(vectors).transform(vectors)
-    return chosen.select("vec_id", F.posexplode("features").alias("pos", "value"))
+    return chosen.select("vec_id", F.posexplode_outer("features").alias("pos", "value"))
 
 
 def variance_split(spark, sf_dir):
@@ -343,7 +347,7 @@ def _gappy_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def missing_to_zero(spark, sf_dir):
     points = _gappy_points(spark, sf_dir)
-    return points.select("l_orderkey", "l_linenumber", "label", F.posexplode("features")).toDF(
+    return points.select("l_orderkey", "l_linenumber", "label", F.posexplode_outer("features")).toDF(
         "l_orderkey", "l_linenumber", "label", "idx", "value"
     )
 

@@ -93,6 +93,11 @@ def entries(vector: Column) -> Column:
     )
 
 
+def inline_entries(vector: Column) -> Column:
+    """One row per stored entry: its index, then its value."""
+    return F.inline(F.arrays_zip(vector["indices"], vector["values"]))
+
+
 def sparse_dot(a: Column, b: Column) -> Column:
     """Dot product of two sparse vectors; raises when their sizes differ.
 

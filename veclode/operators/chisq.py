@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import vectors as V
+from ..session import cut_lineage
 from .ranking import TAKE_ORDERED_ROWS, top_rows
 from .tfidf import keep_terms
 
@@ -13,59 +13,57 @@ from .tfidf import keep_terms
 MAX_LABELS = 10_000
 
 
-def _label_totals(df: DataFrame, features: str, label: str) -> list[Row]:
-    rows = (
-        df.groupBy(F.col(label).cast("double").alias("label"))
-        .agg(F.count(F.lit(1)).alias("c"), F.max(F.col(features)["size"]).alias("size"))
-        .limit(MAX_LABELS + 1)
-        .collect()
-    )
-    if len(rows) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} label values; labels must be categories")
-    return rows
-
-
 def chi_square(df: DataFrame, features: str = "features", label: str = "label") -> DataFrame:
     """``idx, chi2`` for every index of the vectors; values and labels count as categories.
 
-    Only non-zero entries are counted; the row of zeros follows from the label totals.
+    One pass counts the non-zero cells; the row of zeros follows from the label totals.
     With n rows in all, O the count of a cell, R and C the totals of its value and label,
     chi2 = n (sum O^2/(R C) - 1).
     """
-    totals = _label_totals(df, features, label)
-    n = float(sum(r["c"] for r in totals))
     spark = df.sparkSession
-    # at most MAX_LABELS rows
-    label_totals = F.broadcast(
-        spark.createDataFrame([(r["label"], r["c"]) for r in totals], "label double, c bigint")
-    )
-    cells = (
-        df.select(F.col(label).cast("double").alias("label"), F.inline(V.entries(F.col(features))))
+    # index -1 stands in every row: its cells are the label totals, its value the width
+    vector = F.col(features)
+    indices = F.concat(F.array(F.lit(-1)), vector["indices"])
+    values = F.concat(F.array(vector["size"].cast("double")), vector["values"])
+    cells = cut_lineage(
+        df.select(F.col(label).cast("double"), F.inline(F.arrays_zip(indices, values)))
+        .toDF("label", "idx", "value")
         .filter("value != 0")
         .groupBy("idx", "value", "label")
         .agg(F.count(F.lit(1)).alias("o"))
-        .join(label_totals, "label")
     )
+    totals = (
+        cells.filter("idx = -1")
+        .groupBy("label")
+        .agg(F.sum("o").alias("c"), F.max("value").cast("int").alias("size"))
+        .limit(MAX_LABELS + 1)
+        .collect()
+    )
+    if len(totals) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} label values; labels must be categories")
+    n = float(sum(r["c"] for r in totals))
+    # at most MAX_LABELS rows
+    label_totals = F.broadcast(
+        spark.createDataFrame([(r["label"], r["c"]) for r in totals], "label double, c bigint")
+    )
+    cells = cells.filter("idx >= 0").join(label_totals, "label")
     by_value = cells.groupBy("idx", "value").agg(
         (F.sum(F.col("o") * F.col("o") / F.col("c")) / F.sum("o")).alias("part")
     )
     by_label = cells.groupBy("idx", "label", "c").agg(F.sum("o").alias("nz"))
     # one row per index: the non-zero values' share, non-zero rows, sum of nz^2/C over labels
+    sq = F.col("nz") * F.col("nz") / F.col("c")
     sums = (
         by_value.select("idx", "part", F.lit(0).alias("nz"), F.lit(0.0).alias("sq"))
-        .unionByName(
-            by_label.select(
-                "idx", F.lit(0.0).alias("part"), "nz", (F.col("nz") * F.col("nz") / F.col("c")).alias("sq")
-            )
-        )
+        .unionByName(by_label.select("idx", F.lit(0.0).alias("part"), "nz", sq.alias("sq")))
         .groupBy("idx")
         .agg(F.sum("part").alias("part"), F.sum("nz").alias("nz"), F.sum("sq").alias("sq"))
     )
     zero_rows = n - F.col("nz")
     zero_part = F.when(zero_rows > 0, (n - 2 * F.col("nz") + F.col("sq")) / zero_rows).otherwise(0.0)
-    width = max((r["size"] for r in totals), default=0)
-    all_indices = spark.range(width).select(F.col("id").cast("int").alias("idx"))
     chi2 = n * (F.col("part") + zero_part - 1)
+    last = max((r["size"] for r in totals), default=0)
+    all_indices = spark.range(last).select(F.col("id").cast("int").alias("idx"))
     return all_indices.join(sums, "idx", "left").select(
         "idx", F.coalesce(chi2, F.lit(0.0)).alias("chi2")
     )
@@ -84,6 +82,6 @@ def chi_square_select(
     Ties go to the lower index (statistics are compared to nine decimals). Rows whose
     vector ends up empty stay, as empty vectors.
     """
-    stats = chi_square(df, features, label).withColumn("chi2", F.round("chi2", 9))
+    stats = cut_lineage(chi_square(df, features, label)).withColumn("chi2", F.round("chi2", 9))
     chosen = top_rows(stats, [("chi2", "desc"), ("idx", "asc")], n, take_rows)
     return keep_terms(df, chosen, features, key, remap=True, drop_empty=False)

@@ -17,7 +17,8 @@ def dim_stats(df: DataFrame, features: str = "features") -> DataFrame:
     more than one partial row per dimension.
     """
     return (
-        df.select(F.posexplode(features).alias("dim", "x"))
+        df.select(F.posexplode_outer(features).alias("dim", "x"))
+        .filter("dim IS NOT NULL")
         .groupBy("dim")
         .agg(F.avg("x").alias("mean"), F.var_pop("x").alias("var"))
     )

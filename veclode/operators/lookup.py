@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A table up to this many (short) rows is broadcast.
-BROADCAST_ROWS = 1_000_000
+from ..session import table_bytes
+
+# A table measured at up to this many bytes is broadcast.
+BROADCAST_BYTES = 64 << 20
 # Beyond that each key is spread over this many shuffle partitions.
 SALTS = 32
 
@@ -17,7 +19,7 @@ def lookup_join(
     on: str,
     spread_by: str,
     how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join with a lookup table holding one row per ``on`` value.
 
@@ -25,7 +27,7 @@ def lookup_join(
     its salt from ``spread_by``: a value held by a third of all rows then meets its match
     in many tasks instead of one.
     """
-    if table.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if broadcast_bytes and table_bytes(table) <= broadcast_bytes:
         return rows.join(F.broadcast(table), on, how)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
     copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -40,7 +42,7 @@ def match_elements(
     on: str,
     out: str,
     how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Look every array element up in ``table`` and put the finds back into the row.
 
@@ -49,7 +51,7 @@ def match_elements(
     ``key`` must be unique. What is regrouped is one row's own array, never more.
     """
     exploded = df.select(key, F.posexplode(elements).alias("_pos", on))
-    found = lookup_join(exploded, table, on, key, how, broadcast_rows)
+    found = lookup_join(exploded, table, on, key, how, broadcast_bytes)
     others = [c for c in table.columns if c != on]
     regrouped = found.groupBy(key).agg(
         F.sort_array(

@@ -196,8 +196,8 @@ def _joined_dots(df: DataFrame, params: LshParams, features: str, key: str) -> D
     coefficients = spark.createDataFrame(
         pa.table({"idx": np.arange(params.dim, dtype=np.int32), "a": list(flat)})
     )
-    entries = df.select(key, F.inline(V.entries(F.col(features))))
-    products = lookup_join(entries, coefficients, "idx", key, broadcast_rows=0)
+    entries = df.select(key, V.inline_entries(F.col(features))).toDF(key, "idx", "value")
+    products = lookup_join(entries, coefficients, "idx", key, broadcast_bytes=0)
     sums = [F.sum(F.col("value") * F.col("a")[f]).alias(f"d{f}") for f in range(flat.shape[1])]
     dots = products.groupBy(key).agg(F.array(*sums).alias("_dots"))
     zero = F.array_repeat(F.lit(0.0), flat.shape[1])
@@ -269,7 +269,7 @@ def lsh_index(
 
 def lsh_rows(df: DataFrame, key: str = "id", buckets: str = "buckets") -> DataFrame:
     """One row ``key, table_id, bucket`` per vector and table."""
-    return df.select(key, F.posexplode(buckets).alias("table_id", "bucket"))
+    return df.select(key, F.posexplode_outer(buckets).alias("table_id", "bucket"))
 
 
 def lsh_histogram(df: DataFrame, buckets: str = "buckets") -> DataFrame:
@@ -278,7 +278,7 @@ def lsh_histogram(df: DataFrame, buckets: str = "buckets") -> DataFrame:
     Counts are combined before the shuffle, so a crowded bucket costs one row per task.
     """
     return (
-        df.select(F.posexplode(buckets).alias("table_id", "bucket"))
+        df.select(F.posexplode_outer(buckets).alias("table_id", "bucket"))
         .groupBy("table_id", "bucket")
         .agg(F.count(F.lit(1)).alias("n"))
     )

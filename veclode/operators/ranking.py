@@ -61,7 +61,8 @@ def kth_row(df: DataFrame, order: Order, k: int, take_rows: int = TAKE_ORDERED_R
     keys = df.select(*[name for name, _ in order])
     if k <= take_rows:
         return keys.orderBy(*sort_columns(order)).offset(k - 1).limit(1).head()
-    return with_row_index(keys, order, "_rank").filter(F.col("_rank") == k - 1).head()
+    ranked = with_row_index(keys, order, "_rank")
+    return ranked.filter(F.col("_rank") == k - 1).drop("_rank").head()
 
 
 def top_rows(df: DataFrame, order: Order, k: int, take_rows: int = TAKE_ORDERED_ROWS) -> DataFrame:

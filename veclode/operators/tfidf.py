@@ -12,6 +12,7 @@ from ..functions import vectors as V
 from ..functions.arrays import let, run_lengths
 from ..functions.hashing import term_index
 from ..session import cut_lineage, literal_array
+from .columns import with_bound_column
 from .lookup import match_elements
 from .ranking import TAKE_ORDERED_ROWS, top_rows, with_row_index
 
@@ -59,9 +60,9 @@ def fit_idf(df: DataFrame, num_features: int, features: str = "features") -> Idf
 
     Index -1 stands in every document, so one pass gives m as well.
     """
-    seen = F.concat(F.array(F.lit(-1)), F.col(features)["indices"])
+    seen = F.explode(F.concat(F.array(F.lit(-1)), F.col(features)["indices"]))
     counts = cut_lineage(
-        df.select(F.explode(seen).alias("idx")).groupBy("idx").agg(F.count(F.lit(1)).alias("df"))
+        df.select(seen.alias("idx")).groupBy("idx").agg(F.count(F.lit(1)).alias("df"))
     )
     row = counts.filter("idx = -1").head()
     documents = row["df"] if row else 0
@@ -142,7 +143,7 @@ def tfidf_l2(
 
 def to_long(df: DataFrame, key: str, features: str = "features", value: str = "value") -> DataFrame:
     """One row ``key, idx, value`` per stored entry."""
-    return df.select(key, F.inline(V.entries(F.col(features)))).toDF(key, "idx", value)
+    return df.select(key, V.inline_entries(F.col(features))).toDF(key, "idx", value)
 
 
 def important_terms(
@@ -153,7 +154,8 @@ def important_terms(
 ) -> DataFrame:
     """``idx, max_weight`` of the top fraction of indices by their greatest weight."""
     best = cut_lineage(
-        df.select(F.inline(V.entries(F.col(features))))
+        df.select(V.inline_entries(F.col(features)))
+        .toDF("idx", "value")
         .groupBy("idx")
         .agg(F.max("value").alias("max_weight"))
     )
@@ -207,5 +209,8 @@ def keep_terms(
         F.filter(placed, lambda e: e["idx"].isNotNull()),
         lambda e: V.sparse(width, e["idx"], e["value"]),
     )
-    df = df.withColumn(features, pruned).drop("_found")
-    return df.filter(F.size(vector["indices"]) >= 1) if drop_empty else df
+    if not drop_empty:
+        return df.withColumn(features, pruned).drop("_found")
+    return with_bound_column(df, features, pruned).drop("_found").filter(
+        F.size(vector["indices"]) >= 1
+    )

@@ -7,12 +7,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, sql_strings
+from ..session import cut_lineage, sql_strings, table_bytes
+from .columns import explode_elements, with_bound_column
 from .lookup import match_elements
 from .ranking import TAKE_ORDERED_ROWS, top_rows
 
-# Up to this many words the vocabulary becomes a constant hash set in the plan.
+# Up to this many words and bytes the vocabulary becomes a constant hash set in the plan.
 INLINE_WORDS = 10_000
+INLINE_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -25,9 +27,8 @@ class Vocabulary:
 
 def word_count(df: DataFrame, words: str = "words") -> DataFrame:
     """``word, n`` over all documents; counts are combined before the shuffle."""
-    return (
-        df.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    )
+    rows = explode_elements(df, [], words, "word")
+    return rows.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def top_fraction_vocab(
@@ -54,9 +55,9 @@ def keep_vocab(
     """
     if vocab.size == 0:
         return df.limit(0)
-    if vocab.size <= inline_words:
+    if vocab.size <= inline_words and table_bytes(vocab.table) <= INLINE_BYTES:
         kept = [r["word"] for r in vocab.table.select("word").collect()]
         pruned = F.expr(f"filter(`{words}`, w -> w IN ({sql_strings(kept)}))")
-        return df.withColumn(words, pruned).filter(F.size(words) >= 1)
+        return with_bound_column(df, words, pruned).filter(F.size(words) >= 1)
     matched = match_elements(df, key, F.col(words), vocab.table.select("word"), "word", "_kept")
     return matched.withColumn(words, F.col("_kept")["word"]).drop("_kept")

@@ -157,17 +157,17 @@ def variance_vectors(
 ) -> DataFrame:
     """Two label-first CSVs -> sparse vectors of the k dimensions that vary most in training.
 
-    Keys count on through the training rows, then the test rows, in an order fixed by
-    the rows' content.
+    Keys count on through the training rows, then the test rows.
     """
     train = read_labeled_csv(spark, training).withColumn("split", F.lit("training"))
     rest = read_labeled_csv(spark, test).withColumn("split", F.lit("test"))
     both = TopVarianceSelector(k).fit(train).transform(train.unionByName(rest))
     sparse = both.withColumn("features", dense_to_sparse(F.col("features")))
-    ordered = sparse.withColumn("_first", (F.col("split") == "test").cast("int"))
-    ordered = ordered.withColumn("_hash", F.xxhash64("features", "label"))
-    keyed = with_row_index(ordered, [("_first", "asc"), ("_hash", "asc")], "key")
-    keyed = keyed.drop("_first", "_hash")
+    placed = sparse.withColumn("_part", (F.col("split") == "test").cast("int")).withColumn(
+        "_read", F.monotonically_increasing_id()
+    )
+    keyed = with_row_index(placed, [("_part", "asc"), ("_read", "asc")], "key")
+    keyed = keyed.drop("_part", "_read")
     sinks.write_split(keyed, out, fmt)
     return keyed
 

@@ -8,6 +8,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -33,6 +34,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# An input below this many bytes per core may lie in fewer splits than there are cores.
+SMALL_BYTES_PER_CORE = 32 << 20
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small input out to all cores; leave a large one as it is read.
+
+    A small file is often one row group, hence one task. Past the size limit the splits
+    of the files keep the cores busy and shuffling the raw rows would only cost.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * SMALL_BYTES_PER_CORE else df
+
+
+def table_bytes(table: DataFrame) -> int:
+    """Bytes of a table of numbers and strings, counted rather than estimated."""
+    per_row = F.lit(16)
+    for field in table.schema.fields:
+        text = isinstance(field.dataType, (StringType, BinaryType))
+        width = F.coalesce(F.octet_length(field.name), F.lit(0)) if text else F.lit(8)
+        per_row = per_row + width
+    return table.agg(F.sum(per_row).alias("bytes")).head()["bytes"] or 0
+
+
 def literal_array(values: Iterable, element_type: str) -> Column:
     """A constant array. Going through JSON costs one call however long the array is."""
     return F.from_json(F.lit(json.dumps(list(values))), f"array<{element_type}>")

@@ -1,4 +1,7 @@
-"""Writers. Parquet is the default; the text forms are there to be read elsewhere."""
+"""Writers. Parquet is the default; the text forms are there to be read elsewhere.
+
+Nothing is overwritten: a path that exists already is an error.
+"""
 
 from __future__ import annotations
 
@@ -14,7 +17,7 @@ def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
 
 
 def write_lines(df: DataFrame, line: Column, path: str, partitions: int | None = None) -> None:
-    _spread(df, partitions).select(line.alias("value")).write.mode("overwrite").text(path)
+    _spread(df, partitions).select(line.alias("value")).write.text(path)
 
 
 def write_labeled_points(
@@ -38,9 +41,9 @@ def write_labeled_points(
             F.col(label).cast("double").alias("label"),
             to_ml_vector(F.col(features)).alias("features"),
         )
-        _spread(points, partitions).write.format("libsvm").mode("overwrite").save(path)
+        _spread(points, partitions).write.format("libsvm").save(path)
     elif fmt == "parquet":
-        _spread(df, partitions).write.mode("overwrite").parquet(path)
+        _spread(df, partitions).write.parquet(path)
     else:
         raise ValueError(f"unknown format {fmt!r}")
     return written.get["rows"]
@@ -56,7 +59,7 @@ def write_indexed_vectors(
             numbered, format_sparse(F.col(features), F.col("row_index"), key_last=True), path
         )
     else:
-        numbered.write.mode("overwrite").parquet(path)
+        numbered.write.parquet(path)
 
 
 def write_split(
@@ -72,7 +75,7 @@ def write_split(
     ``path_test`` with lines ``(key,size,[i],[v])``.
     """
     if fmt == "parquet":
-        df.write.mode("overwrite").partitionBy("split").parquet(path)
+        df.write.partitionBy("split").parquet(path)
         return
     line = format_sparse(F.col(features), F.col(key))
     for split in ("training", "test"):
@@ -90,7 +93,7 @@ def write_lsh(
 ) -> None:
     """Vectors with their buckets; as text ``((key,size,[i],[v]),b0,b1,...)``."""
     if fmt == "parquet":
-        _spread(df, partitions).write.mode("overwrite").parquet(path)
+        _spread(df, partitions).write.parquet(path)
         return
     write_lines(df, lsh_line(F.col(features), F.col(key), F.col(buckets)), path, partitions)
 
@@ -107,4 +110,4 @@ def write_histogram(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     if fmt == "text":
         write_lines(ordered, F.concat_ws("\t", "table_id", "bucket", "n"), path)
     else:
-        ordered.write.mode("overwrite").parquet(path)
+        ordered.write.parquet(path)
