@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import tempfile
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,13 +26,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and read it back from the shared checkpoint folder.
+    """Compute ``df`` once, as a table in the shared checkpoint folder, and read it back.
 
     Used where several jobs read the same intermediate result: a lost executor then
-    costs a re-read, not a re-run of everything before it.
+    costs a re-read, not a re-run of everything before it. Being Parquet, the table is
+    counted from its footers and read by column.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # An input below this many bytes per core may lie in fewer splits than there are cores.
