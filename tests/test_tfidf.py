@@ -41,15 +41,15 @@ def test_top_fraction(corpus, take_rows):
     assert {r["word"] for r in vocab.table.collect()} == set(order[: vocab.size])
 
 
-@pytest.mark.parametrize("inline_words", [0, 1000])
-def test_keep_vocab_keeps_order_and_repeats(corpus, inline_words):
+@pytest.mark.parametrize("limits", [{}, {"inline_words": 0}, {"inline_words": 0, "shipped_bytes": 0}])
+def test_keep_vocab_keeps_order_and_repeats(corpus, limits):
     df, docs = corpus
     vocab = top_fraction_vocab(word_count(df), 0.9)
     kept = {r["word"] for r in vocab.table.collect()}
     assert {"it's", "back\\slash", ""} <= kept
     expected = {d: [w for w in ws if w in kept] for d, ws in docs.items()}
     expected = {d: ws for d, ws in expected.items() if ws}
-    got = keep_vocab(df.withColumn("lang", F.lit("en")), vocab, inline_words=inline_words)
+    got = keep_vocab(df.withColumn("lang", F.lit("en")), vocab, **limits)
     assert {r["doc_id"]: r["words"] for r in got.collect()} == expected
     assert {r["lang"] for r in got.collect()} == {"en"}
 
@@ -86,8 +86,11 @@ def test_murmur3_is_the_ml_hashing(corpus):
         T.hashing_tf(df, 33, hash="sha")
 
 
-@pytest.mark.parametrize("inline_features", [0, 1000])
-def test_tfidf_weights(corpus, inline_features):
+TIERS = [{}, {"inline_values": 0}, {"shipped_bytes": 0}]
+
+
+@pytest.mark.parametrize("limits", TIERS)
+def test_tfidf_weights(corpus, limits):
     df, docs = corpus
     n = 23
     tf = python_tf(docs, n)
@@ -101,18 +104,18 @@ def test_tfidf_weights(corpus, inline_features):
     vectors = T.hashing_tf(df, n)
     idf = T.fit_idf(vectors, n)
     assert idf.documents == m
-    got = as_dicts(T.l2_normalize(T.apply_idf(vectors, idf, inline_features=inline_features)))
+    got = as_dicts(T.l2_normalize(T.apply_idf(vectors, idf, **limits)))
     assert got.keys() == expected.keys()
     for d in expected:
         assert got[d] == pytest.approx(expected[d])
 
 
-@pytest.mark.parametrize("inline_features", [0, 1000])
-def test_idf_of_an_index_not_seen_when_fitting(spark, inline_features):
+@pytest.mark.parametrize("limits", TIERS)
+def test_idf_of_an_index_not_seen_when_fitting(spark, limits):
     schema = "doc_id bigint, features struct<size:int,indices:array<int>,values:array<double>>"
     fitted = spark.createDataFrame([(1, (4, [0], [1.0])), (2, (4, [0, 1], [1.0, 1.0]))], schema)
     other = spark.createDataFrame([(3, (4, [0, 3], [2.0, 1.0])), (4, (4, [], []))], schema)
-    got = as_dicts(T.apply_idf(other, T.fit_idf(fitted, 4), inline_features=inline_features))
+    got = as_dicts(T.apply_idf(other, T.fit_idf(fitted, 4), **limits))
     assert got == {3: {0: 0.0, 3: pytest.approx(math.log(3))}, 4: {}}
 
 
@@ -133,10 +136,10 @@ def test_important_terms(spark):
     df = spark.createDataFrame(rows, schema)
     terms = T.important_terms(df, 0.5)
     assert {(r["idx"], r["max_weight"]) for r in terms.collect()} == {(2, 0.9), (7, 0.9)}
-    for inline in (0, 1000):
-        kept = T.keep_terms(df, terms, inline_features=inline)
+    for limits in TIERS:
+        kept = T.keep_terms(df, terms, **limits)
         assert as_dicts(kept) == {1: {2: 0.9}, 3: {7: 0.9}}
         assert {r["features"]["size"] for r in kept.collect()} == {9}
-        packed = T.keep_terms(df, terms, remap=True, drop_empty=False, inline_features=inline)
+        packed = T.keep_terms(df, terms, remap=True, drop_empty=False, **limits)
         assert as_dicts(packed) == {1: {0: 0.9}, 2: {}, 3: {1: 0.9}, 4: {}}
         assert {r["features"]["size"] for r in packed.collect()} == {2}

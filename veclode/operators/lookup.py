@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import let
 from ..session import table_bytes
 
 # A table measured at up to this many bytes is broadcast.
@@ -48,14 +49,45 @@ def match_elements(
 
     Adds ``out``: ``array<struct<pos, on, other table columns>>`` in element order. With
     an inner join, elements without a match are left out, and so are rows without any.
-    ``key`` must be unique. What is regrouped is one row's own array, never more.
+    ``key`` must be unique.
+
+    Equal elements of a row are folded into one, with their positions, before anything is
+    shuffled. What is regrouped is one row's own array, never more.
     """
-    exploded = df.select(key, F.posexplode(elements).alias("_pos", on))
+    exploded = df.select(key, F.inline(_positions(elements))).toDF(key, on, "_pos")
     found = lookup_join(exploded, table, on, key, how, broadcast_bytes)
     others = [c for c in table.columns if c != on]
-    regrouped = found.groupBy(key).agg(
-        F.sort_array(
-            F.collect_list(F.struct(F.col("_pos").alias("pos"), F.col(on), *others))
-        ).alias(out)
+    folded = F.collect_list(F.struct(on, "_pos", *others))
+    unfolded = F.transform(
+        folded,
+        lambda e: F.transform(
+            e["_pos"], lambda p: F.struct(p.alias("pos"), *(e[c].alias(c) for c in (on, *others)))
+        ),
     )
+    regrouped = found.groupBy(key).agg(F.sort_array(F.flatten(unfolded)).alias(out))
     return df.join(regrouped, key, "inner" if how == "inner" else "left")
+
+
+def _positions(elements: Column) -> Column:
+    """``array<struct<element, array of its positions>>``."""
+    placed = F.sort_array(
+        F.transform(elements, lambda e, i: F.struct(e.alias("e"), i.alias("pos")))
+    )
+
+    def fold(s: Column) -> Column:
+        starts = F.filter(
+            F.transform(s, lambda _, i: i),
+            lambda i: (i == 0) | (F.get(s, i)["e"] != F.get(s, i - 1)["e"]),
+        )
+        return let(
+            starts,
+            lambda st: F.transform(
+                st,
+                lambda i, j: F.struct(
+                    F.get(s, i)["e"],
+                    F.slice(s, i + 1, F.coalesce(F.get(st, j + 1), F.size(s)) - i)["pos"],
+                ),
+            ),
+        )
+
+    return let(placed, fold)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.feature import HashingTF
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,13 +13,11 @@ from pyspark.sql import functions as F
 from ..functions import vectors as V
 from ..functions.arrays import let, run_lengths
 from ..functions.hashing import term_index
-from ..session import cut_lineage, literal_array
+from ..session import cut_lineage
 from .columns import with_bound_column
 from .lookup import match_elements
 from .ranking import TAKE_ORDERED_ROWS, top_rows, with_row_index
-
-# Up to this width the IDF values become one constant array in the plan.
-INLINE_FEATURES = 100_000
+from .shipped import INLINE_VALUES, SHIPPED_BYTES, values_at
 
 
 def hashing_tf(
@@ -50,10 +50,6 @@ class Idf:
     documents: int
     num_features: int
 
-    @property
-    def unseen(self):
-        return F.log(F.lit(float(self.documents + 1)))
-
 
 def fit_idf(df: DataFrame, num_features: int, features: str = "features") -> Idf:
     """Document frequencies and ``ln((m + 1) / (df + 1))``.
@@ -72,11 +68,11 @@ def fit_idf(df: DataFrame, num_features: int, features: str = "features") -> Idf
     return Idf(table, documents, num_features)
 
 
-def _dense_idf(idf: Idf) -> list[float]:
-    unseen = idf.table.sparkSession.range(1).select(idf.unseen.alias("idf")).head()["idf"]
-    dense = [unseen] * idf.num_features
-    for r in idf.table.select("idx", "idf").collect():
-        dense[r["idx"]] = r["idf"]
+def _dense(table: DataFrame, column: str, width: int, default: float | int) -> np.ndarray:
+    """The ``idx, column`` rows of a table as an array of the given width."""
+    rows = table.select("idx", column).toArrow()
+    dense = np.full(width, default)
+    dense[rows.column("idx").to_numpy()] = rows.column(column).to_numpy()
     return dense
 
 
@@ -85,29 +81,27 @@ def apply_idf(
     idf: Idf,
     features: str = "features",
     key: str = "doc_id",
-    inline_features: int = INLINE_FEATURES,
+    inline_values: int = INLINE_VALUES,
+    shipped_bytes: int = SHIPPED_BYTES,
 ) -> DataFrame:
     """Multiply term frequencies by their IDF; a weight of 0 stays stored.
 
-    Narrow vectors read the IDF from a constant array inside the row. Wide ones join
-    the IDF table, which needs a unique ``key``.
+    IDF values of bounded size are looked up inside the row. Wider ones are joined, which
+    needs a unique ``key``.
     """
     vector = F.col(features)
-    if idf.num_features <= inline_features:
-        table = literal_array(_dense_idf(idf), "double")
-        weights = F.zip_with(vector["indices"], vector["values"], lambda i, tf: tf * F.get(table, i))
-        return df.withColumn(features, V.sparse(vector["size"], vector["indices"], weights))
-    found = match_elements(
-        df, key, vector["indices"], idf.table.select("idx", "idf"), "idx", "_found", how="left"
-    )
-    weights = F.zip_with(
-        F.coalesce(F.col("_found")["idf"], F.array().cast("array<double>")),
-        vector["values"],
-        lambda f, tf: tf * F.coalesce(f, idf.unseen),
-    )
-    return found.withColumn(
-        features, V.sparse(vector["size"], vector["indices"], weights)
-    ).drop("_found")
+    unseen = math.log(idf.documents + 1)
+    if idf.num_features * 8 <= shipped_bytes:
+        dense = _dense(idf.table, "idf", idf.num_features, unseen)
+        df = df.withColumn("_idf", values_at(dense, vector["indices"], inline_values))
+    else:
+        table = idf.table.select("idx", "idf")
+        df = match_elements(df, key, vector["indices"], table, "idx", "_found", how="left")
+        found = F.transform("_found", lambda f: F.coalesce(f["idf"], F.lit(unseen)))
+        df = df.withColumn("_idf", F.coalesce(found, F.array().cast("array<double>")))
+    weights = F.zip_with(F.col("_idf"), vector["values"], lambda f, tf: tf * f)
+    weighted = V.sparse(vector["size"], vector["indices"], weights)
+    return df.withColumn(features, weighted).drop("_idf", "_found")
 
 
 def l2_normalize(df: DataFrame, features: str = "features") -> DataFrame:
@@ -170,7 +164,8 @@ def keep_terms(
     key: str = "doc_id",
     remap: bool = False,
     drop_empty: bool = True,
-    inline_features: int = INLINE_FEATURES,
+    inline_values: int = INLINE_VALUES,
+    shipped_bytes: int = SHIPPED_BYTES,
 ) -> DataFrame:
     """Keep only the listed indices, then (``drop_empty``) drop vectors left empty.
 
@@ -178,39 +173,34 @@ def keep_terms(
     shrinks the width to k. A long list is joined, which needs a unique ``key``.
     """
     terms = cut_lineage(terms.select("idx"))
-    size = terms.count()
+    size, last = terms.agg(F.count("idx"), F.max("idx")).head()
     vector = F.col(features)
-    if size <= inline_features:
-        chosen = sorted(r["idx"] for r in terms.collect())
-        places = [None] * (chosen[-1] + 1 if chosen else 0)
-        for place, idx in enumerate(chosen):
-            places[idx] = place if remap else idx
-        table = literal_array(places, "int")
-        placed = F.zip_with(
-            vector["indices"],
-            vector["values"],
-            lambda i, x: F.struct(F.get(table, i).alias("idx"), x.alias("value")),
-        )
+    if (last or 0) * 4 < shipped_bytes:
+        places = np.full((last or 0) + 1, -1, dtype=np.int32)
+        chosen = np.sort(terms.toArrow().column("idx").to_numpy())
+        places[chosen] = np.arange(size) if remap else chosen
+        # an index past the table's end is not among the terms
+        known = F.transform(vector["indices"], lambda i: F.least(i, F.lit(len(places))))
+        df = df.withColumn("_place", values_at(np.append(places, -1), known, inline_values))
     else:
         if remap:
             table = with_row_index(terms, [("idx", "asc")], "place")
         else:
             table = terms.withColumn("place", F.col("idx"))
         df = match_elements(df, key, vector["indices"], table, "idx", "_found", how="left")
-        placed = F.transform(
-            F.col("_found"),
-            lambda f: F.struct(
-                f["place"].cast("int").alias("idx"), F.get(vector["values"], f["pos"]).alias("value")
-            ),
-        )
-        placed = F.coalesce(placed, F.array().cast("array<struct<idx:int,value:double>>"))
+        found = F.transform("_found", lambda f: F.coalesce(f["place"], F.lit(-1)).cast("int"))
+        df = df.withColumn("_place", F.coalesce(found, F.array().cast("array<int>")))
+    placed = F.zip_with(
+        F.col("_place"),
+        vector["values"],
+        lambda place, x: F.struct(place.alias("idx"), x.alias("value")),
+    )
     width = F.lit(size) if remap else vector["size"]
     pruned = let(
-        F.filter(placed, lambda e: e["idx"].isNotNull()),
-        lambda e: V.sparse(width, e["idx"], e["value"]),
+        F.filter(placed, lambda e: e["idx"] >= 0), lambda e: V.sparse(width, e["idx"], e["value"])
     )
+    helpers = ("_place", "_found")
     if not drop_empty:
-        return df.withColumn(features, pruned).drop("_found")
-    return with_bound_column(df, features, pruned).drop("_found").filter(
-        F.size(vector["indices"]) >= 1
-    )
+        return df.withColumn(features, pruned).drop(*helpers)
+    bound = with_bound_column(df, features, pruned).drop(*helpers)
+    return bound.filter(F.size(vector["indices"]) >= 1)

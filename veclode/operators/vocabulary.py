@@ -11,6 +11,7 @@ from ..session import cut_lineage, sql_strings, table_bytes
 from .columns import explode_elements, with_bound_column
 from .lookup import match_elements
 from .ranking import TAKE_ORDERED_ROWS, top_rows
+from .shipped import SHIPPED_BYTES, keep_members
 
 # Up to this many words and bytes the vocabulary becomes a constant hash set in the plan.
 INLINE_WORDS = 10_000
@@ -47,17 +48,24 @@ def keep_vocab(
     words: str = "words",
     key: str = "doc_id",
     inline_words: int = INLINE_WORDS,
+    shipped_bytes: int = SHIPPED_BYTES,
 ) -> DataFrame:
     """Drop words outside the vocabulary (order and repeats stay), then empty documents.
 
-    A small vocabulary is tested inside the row and nothing is shuffled. A large one is
-    joined, which needs a unique ``key``.
+    A vocabulary of bounded size is tested inside the row and nothing is shuffled: as a
+    constant, or sent to the tasks. A larger one is joined, which needs a unique ``key``.
     """
     if vocab.size == 0:
         return df.limit(0)
-    if vocab.size <= inline_words and table_bytes(vocab.table) <= INLINE_BYTES:
-        kept = [r["word"] for r in vocab.table.select("word").collect()]
+    table = vocab.table.select("word")
+    size = table_bytes(table)
+    if vocab.size <= inline_words and size <= INLINE_BYTES:
+        kept = [r["word"] for r in table.collect()]
         pruned = F.expr(f"filter(`{words}`, w -> w IN ({sql_strings(kept)}))")
-        return with_bound_column(df, words, pruned).filter(F.size(words) >= 1)
-    matched = match_elements(df, key, F.col(words), vocab.table.select("word"), "word", "_kept")
-    return matched.withColumn(words, F.col("_kept")["word"]).drop("_kept")
+    elif size <= shipped_bytes:
+        members = table.toArrow().column("word").combine_chunks()
+        pruned = keep_members(F.col(words), members)
+    else:
+        matched = match_elements(df, key, F.col(words), table, "word", "_kept")
+        return matched.withColumn(words, F.col("_kept")["word"]).drop("_kept")
+    return with_bound_column(df, words, pruned).filter(F.size(words) >= 1)
