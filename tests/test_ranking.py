@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -47,11 +48,19 @@ def test_row_index_of_nothing(spark):
 
 
 @pytest.mark.parametrize("take_rows", [0, 1000])
-def test_exact_split(spark, take_rows):
-    df = spark.range(200).repartition(5)
+@pytest.mark.parametrize("size", [50, 51, 200, 3000])
+def test_exact_split(spark, size, take_rows):
+    df = spark.range(size).repartition(5)
     rows = exact_split(df, 50, seed=3, take_rows=take_rows).collect()
     test = {r["id"] for r in rows if r["split"] == "test"}
-    assert len(test) == 50 and len(rows) == 200
+    assert len(test) == 50 and len(rows) == size
+    draws = sorted(range(size), key=lambda i: hashlib.md5(f"3:{i}".encode()).hexdigest())
+    assert test == set(draws[:50])
+
+
+def test_exact_split_is_reproducible(spark):
+    df = spark.range(200).repartition(5)
+    test = {r["id"] for r in exact_split(df, 50, seed=3).filter("split = 'test'").collect()}
     again = exact_split(df.repartition(2), 50, seed=3).filter("split = 'test'").collect()
     assert {r["id"] for r in again} == test
     other = exact_split(df, 50, seed=4).filter("split = 'test'").collect()
@@ -63,6 +72,7 @@ def test_exact_split_refuses_what_it_cannot_do(spark):
         exact_split(spark.range(49), 50, seed=0)
     with pytest.raises(ValueError, match="not unique"):
         exact_split(spark.range(10).select(F.lit(1).alias("id")), 3, seed=0)
+    assert len({r["split"] for r in exact_split(spark.range(50), 50, seed=0).collect()}) == 1
     assert exact_split(spark.range(3), 0, seed=0).filter("split = 'test'").count() == 0
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage, literal_array
 
-# Up to this k every task hands k rows to the driver; beyond it the rows are ranked in place.
+# Up to this k every task puts forward its k best rows; beyond it the rows are ranked in place.
 TAKE_ORDERED_ROWS = 1000
 
 # (column name, "asc" | "desc") pairs; together they must order the rows totally.
@@ -56,13 +56,27 @@ def with_row_index(df: DataFrame, order: Order, name: str = "row_index") -> Data
     return placed.withColumn(name, start + inside).drop("_place")
 
 
+def rows_at(
+    df: DataFrame, order: Order, k: int, n: int = 1, take_rows: int = TAKE_ORDERED_ROWS
+) -> list[Row]:
+    """The order's columns of the k-th row (1-based) and those after it, n in all.
+
+    They come back unordered, and fewer where the rows run out.
+    """
+    names = [name for name, _ in order]
+    keys = df.select(*names)
+    if k <= take_rows:
+        found = keys.orderBy(*sort_columns(order)).offset(k - 1).limit(n)
+    else:
+        ranked = with_row_index(keys, order, "_rank")
+        found = ranked.filter(F.col("_rank").between(k - 1, k + n - 2))
+    # aggregated so that each task's candidates meet in a task, not on the driver
+    return found.agg(F.collect_list(F.struct(*names)).alias("rows")).head()["rows"]
+
+
 def kth_row(df: DataFrame, order: Order, k: int, take_rows: int = TAKE_ORDERED_ROWS) -> Row | None:
     """The k-th row (1-based) in the order; None when there are fewer."""
-    keys = df.select(*[name for name, _ in order])
-    if k <= take_rows:
-        return keys.orderBy(*sort_columns(order)).offset(k - 1).limit(1).head()
-    ranked = with_row_index(keys, order, "_rank")
-    return ranked.filter(F.col("_rank") == k - 1).drop("_rank").head()
+    return next(iter(rows_at(df, order, k, 1, take_rows)), None)
 
 
 def top_rows(df: DataFrame, order: Order, k: int, take_rows: int = TAKE_ORDERED_ROWS) -> DataFrame:

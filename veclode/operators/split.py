@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from math import sqrt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import TAKE_ORDERED_ROWS, at_or_before, kth_row
+from .ranking import TAKE_ORDERED_ROWS, at_or_before, rows_at
 
 
 def exact_split(
@@ -16,14 +18,19 @@ def exact_split(
     The n-th smallest hash of the key is found first; comparing with it then splits the
     rows where they lie, without a join. ``key`` must be unique.
     """
+    if n <= 0:
+        return df.withColumn("split", F.lit("training"))
     drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     order = [("_draw", "asc"), (key, "asc")]
     hashed = df.withColumn("_draw", drawn)
-    edge = kth_row(hashed, order, n, take_rows) if n > 0 else None
-    if n > 0 and edge is None:
+    total = hashed.count()
+    if total < n:
         raise ValueError(f"fewer than {n} rows to draw from")
-    is_test = at_or_before(order, edge) if edge else F.lit(False)
-    split = hashed.withColumn("split", F.when(is_test, "test").otherwise("training"))
-    if edge and hashed.filter(is_test).count() != n:
+    # hashes are uniform, so a little more than n/total of them hold the n smallest
+    share = (n + 10 * sqrt(n) + 100) / total
+    low = hashed.filter(F.col("_draw") < f"{int(share * 16**12):012x}") if share < 1 else hashed
+    edges = rows_at(low, order, n, 2, take_rows) or rows_at(hashed, order, n, 2, take_rows)
+    if len(edges) == 2 and edges[0] == edges[1]:
         raise ValueError(f"{key} is not unique")
-    return split.drop("_draw")
+    is_test = at_or_before(order, min(edges))
+    return hashed.withColumn("split", F.when(is_test, "test").otherwise("training")).drop("_draw")
