@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from veclode.functions.text import (
     mail_body,
     tokens,
 )
+from veclode.operators.terms import string_hashes
 
 
 def one(spark, column, **values):
@@ -69,8 +71,21 @@ def jvm_hash(word):
     return h - (1 << 32) if h >= 1 << 31 else h
 
 
+WORDS = ["", "a", "hello", "Überlänge", "日本語", "a😀b", "polygenelubricants", "x" * 500, ""]
+
+
+def test_string_hashes_of_a_batch():
+    batch = pa.array(WORDS)
+    assert string_hashes(batch).tolist() == [jvm_hash(w) for w in WORDS]
+    assert string_hashes(batch[3:6]).tolist() == [jvm_hash(w) for w in WORDS[3:6]]
+    assert string_hashes(pa.array(["", ""])).tolist() == [0, 0]
+    assert string_hashes(batch[:0]).tolist() == []
+    broken = pa.array([b"ok", b"b\xffd"]).view(pa.string())
+    assert string_hashes(broken).tolist() == [jvm_hash("ok"), jvm_hash("b\ufffdd")]
+
+
 def test_string_hash(spark):
-    words = ["", "a", "hello", "Überlänge", "日本語", "a😀b", "polygenelubricants", "x" * 500]
+    words = WORDS
     df = spark.createDataFrame([(w,) for w in words], "w string")
     rows = df.select("w", string_hash(F.col("w")).alias("h"), term_index(F.col("w"), 97).alias("i"))
     for r in rows.collect():

@@ -15,24 +15,3 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     repetition runs once per element, so anything used there is bound first.
     """
     return F.transform(F.array(value), body)[0]
-
-
-def run_lengths(sorted_values: Column, build: Callable[[Column, Column], Column]) -> Column:
-    """``build(distinct values, their counts)`` of a sorted array, in one linear walk."""
-
-    def walk(s: Column) -> Column:
-        starts = F.filter(
-            F.when(F.size(s) > 0, F.sequence(F.lit(0), F.size(s) - 1)).otherwise(
-                F.array().cast("array<int>")
-            ),
-            lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)),
-        )
-        return let(
-            starts,
-            lambda st: build(
-                F.transform(st, lambda i: F.get(s, i)),
-                F.transform(st, lambda i, j: F.coalesce(F.get(st, j + 1), F.size(s)) - i),
-            ),
-        )
-
-    return let(sorted_values, walk)

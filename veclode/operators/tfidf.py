@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
-from ..functions.arrays import let, run_lengths
-from ..functions.hashing import term_index
+from ..functions.arrays import let
 from ..session import cut_lineage
 from .columns import with_bound_column
 from .lookup import match_elements
 from .ranking import TAKE_ORDERED_ROWS, top_rows, with_row_index
 from .shipped import INLINE_VALUES, SHIPPED_BYTES, values_at
+from .terms import count_terms
 
 
 def hashing_tf(
@@ -37,9 +37,7 @@ def hashing_tf(
         return stage.transform(df).withColumn(out, V.from_ml_vector(F.col(out)))
     if hash != "string":
         raise ValueError(f"unknown hash {hash!r}")
-    indices = F.sort_array(F.transform(words, lambda w: term_index(w, num_features)))
-    vector = run_lengths(indices, lambda idx, n: V.sparse(F.lit(num_features), idx, n))
-    return df.withColumn(out, vector)
+    return df.withColumn(out, count_terms(F.col(words), num_features))
 
 
 @dataclass(frozen=True)
