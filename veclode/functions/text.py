@@ -26,8 +26,6 @@ MAIL_HEADERS = (
     "X-FileName",
 )
 
-LINE_BREAK = "\r\n|\n|\r"
-
 
 def mail_body(line: Column, *, strict: bool = False) -> Column:
     """True for lines of a mail that belong to its body.
@@ -43,9 +41,19 @@ def mail_body(line: Column, *, strict: bool = False) -> Column:
     return long_enough & ~header
 
 
+def lines(text: Column) -> Column:
+    """Split at any kind of line break.
+
+    Plain replacing first leaves a one-character separator, which splits several times
+    faster than a pattern.
+    """
+    unified = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    return F.split(unified, "\n")
+
+
 def keep_lines(text: Column, predicate: Callable[[Column], Column] = mail_body) -> Column:
     """The lines of ``text`` that pass, each followed by one space, as one string."""
-    kept = F.filter(F.split(text, LINE_BREAK), lambda line: predicate(line))
+    kept = F.filter(lines(text), lambda line: predicate(line))
     return F.array_join(F.transform(kept, lambda line: F.concat(line, F.lit(" "))), "")
 
 

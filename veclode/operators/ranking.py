@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage, literal_array
 
 # Up to this k every task puts forward its k best rows; beyond it the rows are ranked in place.
-TAKE_ORDERED_ROWS = 1000
+TAKE_ORDERED_ROWS = 5000
 
 # (column name, "asc" | "desc") pairs; together they must order the rows totally.
 Order = list[tuple[str, str]]

@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import lines
 from ..functions.vectors import parse_sparse, sparse_to_dense
 from ..operators.lsh import LshParams
 
@@ -18,13 +19,13 @@ def read_lsh_params(spark: SparkSession, path: str, family: str, chain: int) ->
     """
     if family not in ("angle", "pstable"):
         raise ValueError(f"unknown family {family!r}")
-    lines = (
+    functions = (
         spark.read.text(path, wholetext=True)
-        .select(F.posexplode(F.split("value", "\r\n|\n|\r")).alias("pos", "line"))
+        .select(F.posexplode(lines(F.col("value"))).alias("pos", "line"))
         .filter("trim(line) != ''")
         .select("pos", F.split("line", ";").alias("p"))
     )
-    parsed = lines.select(
+    parsed = functions.select(
         "pos",
         sparse_to_dense(parse_sparse(F.get("p", F.lit(0)))["vector"]).alias("a"),
         F.get("p", F.lit(1)).cast("double").alias("b"),
