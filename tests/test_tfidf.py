@@ -10,6 +10,7 @@ from tests.test_text import jvm_hash
 from veclode.functions.vectors import from_ml_vector
 from veclode.operators import tfidf as T
 from veclode.operators.vocabulary import keep_vocab, top_fraction_vocab, word_count
+from veclode.plans.jobs import text_tfidf
 
 
 @pytest.fixture(scope="module")
@@ -143,3 +144,24 @@ def test_important_terms(spark):
         packed = T.keep_terms(df, terms, remap=True, drop_empty=False, **limits)
         assert as_dicts(packed) == {1: {0: 0.9}, 2: {}, 3: {1: 0.9}, 4: {}}
         assert {r["features"]["size"] for r in packed.collect()} == {2}
+
+
+@pytest.mark.parametrize("partitions", ["1", "64"])
+def test_weights_do_not_depend_on_partitions(spark, corpus, partitions):
+    df, docs = corpus
+    content = df.select("doc_id", F.array_join("words", " ").alias("content"))
+    expected = as_dicts(text_tfidf(content, 0.3))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = as_dicts(text_tfidf(content.repartition(int(partitions)), 0.3))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got.keys() == expected.keys()
+    for d in expected:
+        assert got[d] == pytest.approx(expected[d])
+
+
+def test_nothing_is_left_when_the_vocabulary_is_empty(spark):
+    docs = spark.createDataFrame([(1, "a b c "), (2, "")], "doc_id bigint, content string")
+    assert text_tfidf(docs, 0.005).collect() == []
