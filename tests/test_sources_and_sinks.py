@@ -62,10 +62,12 @@ def test_labeled_csv(spark, write):
 def test_keyed_values(spark, write):
     rows = read_keyed_values(spark, write("k", "12 0.0 0.25 0.0 \n13 1.0 0.0 2.0\n")).collect()
     assert [tuple(r) for r in rows] == [(12, [0.0, 0.25, 0.0]), (13, [1.0, 0.0, 2.0])]
+    rows = read_keyed_values(spark, write("p", "1|2.0|3.0\n"), sep="|").collect()
+    assert [tuple(r) for r in rows] == [(1, [2.0, 3.0])]
 
 
 XML = """<?xml version="1.0"?>
-<dblp>
+<bib>
 <inproceedings key="c"><title>Not me.</title><year>1999</year></inproceedings>
 <article key="a" mdate="2010-01-01">
 <author>J&uuml;rgen</author>
@@ -76,7 +78,7 @@ XML = """<?xml version="1.0"?>
 <article key="c"><title>No year</title></article>
 <book><title>Book</title><year>1990</year></book>
 <article key="d"><title>Last One</title><year>2007</year></article>
-</dblp>
+</bib>
 """
 
 
