@@ -51,6 +51,12 @@ from veclode.sources.bibliography import article_fields  # noqa: E402
 from veclode.session import spread_small  # noqa: E402
 from veclode.sources.tables import keyed_fields, labeled_fields  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from veclode.llm import queries as llm
+except ImportError:  # the subpackage is optional
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 ANGLE = lsh_params("angle", 64, family_size=24, tables=4, chain=8, seed=11)
@@ -425,6 +431,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    more = {**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {}
+    return own_queries() | more
+
+
+def oracle_sql() -> dict[str, str]:
+    return own_oracle_sql() | (llm.oracle_sql() if llm else {})
+
+
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "line_filter": line_filter,
         "word_count": words_counted,
@@ -624,7 +639,7 @@ _CUBIC = [
 ]
 
 
-def oracle_sql() -> dict[str, str]:
+def own_oracle_sql() -> dict[str, str]:
     cubic = ", ".join(f"pow(q, {i}) * pow(d, {j}) * pow(t, {k})" for i, j, k in _CUBIC)
     gappy = (
         "SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END::DOUBLE"
