@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,9 +33,9 @@ from veclode.llm.common import blocks, column, raw_bytes, row_ranges, stored
 from veclode.llm.components import components
 
 N = 5  # words in a shingle
-WORD_BUCKETS = 1 << 23
+WORD_BUCKETS = 1 << 24
 BLOCK_SETS = 1000  # sets in a block, about
-BLOCK_SHINGLES = 400_000  # shingles in a block, about
+BLOCK_SHINGLES = 1_000_000  # shingles in a block, about
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _MIX = np.random.default_rng(9).integers(1 << 62, 1 << 63, N, dtype=np.uint64) * 2 + 1
@@ -127,7 +128,7 @@ def word_ranks(docs: DataFrame, text: str) -> np.ndarray:
 
 
 def prefix(words: list[bytes], hashes: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, int]:
-    """The shingles of a set that go into the index, and the size of the set.
+    """The shingles of a set that go into the lists, in order, and the size of the set.
 
     A partner with three quarters of the union in common shares at least three quarters of
     this set, hence a shingle among the first size - ceil(3/4 size) + 1 in any fixed order;
@@ -145,16 +146,27 @@ def prefix(words: list[bytes], hashes: np.ndarray, ranks: np.ndarray) -> tuple[n
     return h[np.lexsort((h, rank[at]))[: n + 1 - -(-3 * n // 4)]], n
 
 
+def index_length(n):
+    """How many first shingles of a set of ``n`` can be the first it shares with a set of its
+    own size or larger: such a pair has at least 6/7 of the smaller set in common."""
+    return n + 1 - -(-6 * n // 7)
+
+
 def _candidates(docs: DataFrame, text: str, ranks: np.ndarray) -> DataFrame:
-    """Candidate edges (a, b) between classes that share an index list and have a chain of
-    compatible sizes in it."""
+    """Candidate edges (a, b) whose components hold every pair that can link.
+
+    A list goes from small to large sets. A set can link with the smaller ones in it, if they
+    hold the shingle among their index shingles and are not too small. Those are skipped to
+    by their place: they end where a size step is too great, and what lies between two such
+    places is one star around its first set.
+    """
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen = _Hashes(), set()
         for batch in batches:
             texts = raw_bytes(batch.column(0))
             for a, b in blocks(texts):
-                lists, sizes, names = [], [], []
+                lists, sizes, late, names = [], [], [], []
                 for text in texts[a:b]:
                     words = split_words(text)
                     name = word_class(words)
@@ -163,40 +175,51 @@ def _candidates(docs: DataFrame, text: str, ranks: np.ndarray) -> DataFrame:
                     seen.add(name)
                     listed, n = prefix(words, word_hashes(words, known), ranks)
                     lists.append(listed.view(np.int64))
+                    late.append(np.arange(len(listed)) >= index_length(n))
                     sizes.append(n)
                     names.append(name)
                 if lists:
                     each = [len(x) for x in lists]
+                    owner = pa.array(np.repeat(np.arange(len(each)), each))
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.concatenate(lists)),
                             pa.array(np.repeat(np.array(sizes, np.int32), each)),
-                            pa.array(names, pa.binary()).take(pa.array(np.repeat(np.arange(len(each)), each))),
+                            pa.array(np.concatenate(late)),
+                            pa.array(names, pa.binary()).take(owner),
                         ],
-                        names=["token", "n", "cls"],
+                        names=["token", "n", "late", "cls"],
                     )
 
     def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the last index set of the list, its size, and the first set of its run
         last_token, last_n, leader = None, 0, pa.array([None], pa.binary())
         for batch in batches:
             if not batch.num_rows:
                 continue
-            token = batch.column(0).to_numpy()
-            n = batch.column(1).to_numpy().astype(np.int64)
-            new = np.ones(len(token), bool)
-            new[1:] = (token[1:] != token[:-1]) | (4 * n[:-1] < 3 * n[1:])
-            new[0] = token[0] != last_token or 4 * last_n < 3 * int(n[0])
-            # place 0 is the leader carried over from the batch before
-            names = pa.concat_arrays([leader, batch.column(2)])
-            leads = np.maximum.accumulate(np.where(new, np.arange(1, len(token) + 1), 0))
-            pairs = pa.table({"a": names.take(pa.array(leads[~new])), "b": batch.column(2).filter(pa.array(~new))})
-            pairs = pairs.group_by(["a", "b"]).aggregate([])
-            yield from pairs.select(["a", "b"]).to_batches()
-            last_token, last_n = token[-1], int(n[-1])
-            leader = names.slice(int(leads[-1]), 1)
-
-    lists = _texts(docs, text, post, "token bigint, n int, cls binary")
-    dealt = lists.repartition("token").sortWithinPartitions("token", "n", "cls")
+            token, n = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
+            early = ~batch.column(2).to_numpy(zero_copy_only=False)
+            place = np.arange(1, len(token) + 1)  # 0 is the set carried over
+            # the last index set before each row, and whether it is near enough
+            before = np.maximum.accumulate(np.where(early, place, 0))
+            before = np.concatenate([[0], before[:-1]])
+            tokens = np.concatenate([[last_token if last_token is not None else ~token[0]], token])
+            sizes = np.concatenate([[last_n], n])
+            near = (tokens[before] == token) & (4 * sizes[before] >= 3 * n)
+            first = np.maximum.accumulate(np.where(early & ~near, place, 0))
+            leads = np.concatenate([[0], first])[before]
+            names = pa.concat_arrays([leader, batch.column(3)])
+            pairs = pa.table(
+                {"a": names.take(pa.array(leads[near])), "b": batch.column(3).filter(pa.array(near))}
+            )
+            yield from pairs.group_by(["a", "b"]).aggregate([]).select(["a", "b"]).to_batches()
+            if early.any():
+                last = int(np.flatnonzero(early)[-1])
+                last_token, last_n = token[last], int(n[last])
+                leader = names.slice(int(first[last]), 1)
+
+    lists = _texts(docs, text, post, "token bigint, n int, late boolean, cls binary")
+    dealt = lists.repartition("token").sortWithinPartitions("token", "n", "late", "cls")
     return dealt.mapInArrow(stars, "a binary, b binary").where("a <> b").distinct()
 
 
@@ -208,20 +231,22 @@ def _named_bit(cls) -> F.Column:
     return F.conv(F.hex(F.substring(cls, 1, _FILTER_BYTES)), 16, 10).cast("int")
 
 
-def _sets(docs: DataFrame, text: str, members: DataFrame) -> DataFrame:
-    """(cls, shingles) for the classes of ``members`` and a few others: a filter of fixed size
-    keeps most other texts from being shuffled. A class may come once from every task."""
+def _member_texts(docs: DataFrame, text: str, members: DataFrame) -> DataFrame:
+    """``members`` with the ``words`` of their class, compressed: these are a quarter of the
+    size of its shingles. A filter of fixed size keeps most other texts from being shuffled.
+    A class may come once from every task."""
     bits = members.select(_named_bit(F.col("node")).alias("bit")).distinct().toArrow()
     wanted = np.zeros(1 << 8 * _FILTER_BYTES, bool)
     wanted[bits["bit"].to_numpy()] = True
     packed = np.packbits(wanted).tobytes()
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen, asked = _Hashes(), set(), np.unpackbits(np.frombuffer(packed, np.uint8))
+        seen, asked = set(), np.unpackbits(np.frombuffer(packed, np.uint8))
+        compress = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             texts = raw_bytes(batch.column(0))
             for a, b in blocks(texts):
-                names, sets = [], []
+                names, found = [], []
                 for text in texts[a:b]:
                     words = split_words(text)
                     name = word_class(words)
@@ -229,14 +254,15 @@ def _sets(docs: DataFrame, text: str, members: DataFrame) -> DataFrame:
                         continue
                     seen.add(name)
                     names.append(name)
-                    sets.append(np.unique(shingle_hashes(words, word_hashes(words, known))).tobytes())
+                    found.append(compress(b" ".join(words)))
                 if names:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(names, pa.binary()), pa.array(sets, pa.binary())],
-                        names=["cls", "shingles"],
+                        [pa.array(names, pa.binary()), pa.array(found, pa.binary())],
+                        names=["cls", "words"],
                     )
 
-    return _texts(docs, text, fetch, "cls binary, shingles binary")
+    texts = _texts(docs, text, fetch, "cls binary, words binary")
+    return members.join(texts, F.col("node") == F.col("cls"))
 
 
 def link_sets(sets: list[np.ndarray], probes: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -286,24 +312,28 @@ def link_sets(sets: list[np.ndarray], probes: np.ndarray, labels: np.ndarray) ->
 def _linked(rows: DataFrame) -> DataFrame:
     """Edges (a, b) that connect the linked sets of every block pair.
 
-    ``rows``: root, i, j (the block pair), cls, label, probe, shingles.
+    ``rows``: root, i, j (the block pair), cls, label, probe, words.
     """
 
-    def links(group: list[tuple]) -> list[tuple[bytes, bytes]]:
+    def links(group: list[tuple], known: _Hashes) -> list[tuple[bytes, bytes]]:
+        decompress = zstandard.ZstdDecompressor().decompress
         names = [r[0] for r in group]
         numbers: dict[bytes, int] = {}
         labels = np.array([numbers.setdefault(r[1], len(numbers)) for r in group])
         probes = np.array([r[2] for r in group])
         if len(numbers) < 2 or not probes.any():
             return []
-        sets = [np.frombuffer(r[3], np.uint64) for r in group]
+        sets = []
+        for row in group:
+            words = decompress(row[3]).split()
+            sets.append(np.unique(shingle_hashes(words, word_hashes(words, known))))
         after = link_sets(sets, probes, labels)
         heads: dict[int, bytes] = {}
         edges = [(heads.setdefault(k, name), name) for k, name in zip(after.tolist(), names)]
         return [(a, b) for a, b in edges if a != b]
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, group, found = None, [], []
+        known, place, group, found = _Hashes(), None, [], []
 
         def flush() -> pa.RecordBatch:
             batch = pa.RecordBatch.from_arrays(
@@ -313,18 +343,18 @@ def _linked(rows: DataFrame) -> DataFrame:
             return batch
 
         for batch in batches:
-            for root, i, j, name, label, probe, shingles in zip(*(c.to_pylist() for c in batch.columns)):
+            for root, i, j, name, label, probe, words in zip(*(c.to_pylist() for c in batch.columns)):
                 if (root, i, j) != place:
-                    found += links(group) if len(group) > 1 else []
+                    found += links(group, known) if len(group) > 1 else []
                     place, group = (root, i, j), []
                 if not group or group[-1][0] != name:  # sorted: the same class again is a copy
-                    group.append((name, label, probe, shingles))
+                    group.append((name, label, probe, words))
             if len(found) > 10_000:
                 yield flush()
-        found += links(group) if len(group) > 1 else []
+        found += links(group, known) if len(group) > 1 else []
         yield flush()
 
-    columns = ["root", "i", "j", "cls", "label", "probe", "shingles"]
+    columns = ["root", "i", "j", "cls", "label", "probe", "words"]
     dealt = rows.select(*columns).repartition("root", "i", "j").sortWithinPartitions(*columns[:4])
     return dealt.mapInArrow(join, "a binary, b binary")
 
@@ -357,14 +387,12 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     counts = sized.groupBy("root").agg(F.ceil(share).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
     members = stored(sized.join(counts, "root").select("root", "node", "blocks", block))
-    sets = stored(_sets(docs, text, members))
-
-    first = _pairs(members).where("i = j OR i = 0").withColumns(
-        {"label": F.col("node"), "probe": F.lit(True)}
-    )
-    edges = stored(_linked(first.join(sets, F.col("node") == F.col("cls"))))
-    if not members.where("blocks > 2").isEmpty():
-        edges = edges.unionByName(stored(_linked(_second(members, edges).join(sets, F.col("node") == F.col("cls")))))
+    first = members.withColumns({"label": F.col("node"), "probe": F.lit(True)})
+    pairs = _pairs(_member_texts(docs, text, first)).where("i = j OR i = 0")
+    edges = stored(_linked(pairs))
+    large = members.where("blocks > 2")
+    if not large.isEmpty():
+        edges = edges.unionByName(stored(_linked(_second(docs, text, large, edges))))
     linked = components(edges)
 
     named = classes.join(linked, F.col("cls") == F.col("node"))
@@ -377,19 +405,24 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     )
 
 
-def _second(members: DataFrame, edges: DataFrame) -> DataFrame:
-    """Members of the block pairs the first round left out, with their labels so far. Sets of
-    the most frequent label need no comparison among themselves: they are no probes, and go
-    only to pairs whose other block has a probe."""
-    known = components(edges)
-    labelled = members.where("blocks > 2").join(known.withColumnRenamed("root", "label"), "node", "left")
-    labelled = stored(labelled.withColumn("label", F.coalesce("label", "node")))
+def _second(docs: DataFrame, text: str, members: DataFrame, edges: DataFrame) -> DataFrame:
+    """The block pairs that the first round left out, their sets labelled by its components.
+
+    Sets of a component's most frequent label need no comparison among themselves: they are
+    no probes, and go only to pairs whose other block has a probe.
+    """
+    labels = components(edges).withColumnRenamed("root", "label")
+    labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = stored(labelled)
     often = labelled.groupBy("root", "label").count().groupBy("root")
     main = often.agg(F.max(F.struct("count", "label")).alias("m")).select("root", F.col("m.label").alias("main"))
     told = labelled.join(main, "root").withColumn("probe", F.col("label") != F.col("main"))
+    told = stored(told)
     with_probe = told.where("probe").select(
         F.col("root").alias("root_"), F.col("block").alias("block_")
     ).distinct()
-    pairs = _pairs(told).where("i <> j AND i <> 0")
     theirs = (F.col("root") == F.col("root_")) & (F.col("other") == F.col("block_"))
-    return pairs.where("probe").unionByName(pairs.where("NOT probe").join(with_probe, theirs, "left_semi"))
+    pairs = _pairs(told).where("i <> j AND i <> 0")
+    asked = pairs.where("probe").unionByName(pairs.where("NOT probe").join(with_probe, theirs, "left_semi"))
+    texts = _member_texts(docs, text, asked.select("node").distinct())
+    return asked.join(texts.drop("node"), F.col("node") == F.col("cls"))
