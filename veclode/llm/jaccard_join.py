@@ -399,7 +399,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     least = named.groupBy("root").agg(F.min("key").alias("component_id"))
     of = named.join(least, "root").select("cls", "component_id")
     alone = F.when(F.col("n_shingles") > 0, F.col("least_key")).otherwise(F.col("key"))
-    own = classes.select("cls", F.col("key").alias("least_key")).join(of, "cls", "left")
+    # a table of its own, so that the rows of a class with very many copies can be split
+    own = stored(classes.select("cls", F.col("key").alias("least_key")).join(of, "cls", "left"))
     return rows.join(own, "cls", "left").select(
         F.col("key").alias(key), "n_shingles", F.coalesce("component_id", alone).alias("component_id")
     )

@@ -15,6 +15,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -124,6 +125,12 @@ class WordTokenizer:
         ]
 
 
+@lru_cache(maxsize=1)
+def _tokenizer(path: str) -> WordTokenizer:
+    """One for each worker process: tasks that follow each other go on with what it knows."""
+    return WordTokenizer(path)
+
+
 def token_pieces(
     docs: DataFrame, path: str, size: int, end: int, key: str, text: str, with_ids: bool
 ) -> DataFrame:
@@ -138,7 +145,7 @@ def token_pieces(
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(path)
+        tokenizer = _tokenizer(path)
         last = np.array([end], "<u4").tobytes()
         row = TaskContext.get().partitionId() << 33
         for batch in batches:

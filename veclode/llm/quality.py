@@ -161,6 +161,19 @@ def _worth(rule: Rule, table, bad, rows) -> float:
     return (p - n) / (p + n) if p + n else -1.0
 
 
+def _widened(rule: Rule, table, bad, rows) -> Rule:
+    """Every threshold moved halfway to the nearest good row that meets the other conditions."""
+    out = []
+    for i, (name, op, cut) in enumerate(rule.conditions):
+        others = Rule(rule.conditions[:i] + rule.conditions[i + 1 :])
+        good = table[name][others.covers(table) & rows & ~bad]
+        beyond = good[good < cut] if op == ">=" else good[good > cut]
+        if len(beyond):
+            cut = (cut + float(beyond.max() if op == ">=" else beyond.min())) / 2
+        out.append((name, op, cut))
+    return Rule(tuple(out))
+
+
 def learn_rules(
     table: dict[str, np.ndarray],
     bad: np.ndarray,
@@ -184,6 +197,7 @@ def learn_rules(
             break
         shorter = [Rule(tuple(conditions[:k])) for k in range(1, len(conditions) + 1)]
         rule = max(shorter, key=lambda r: (_worth(r, table, bad, left & ~grow), len(r.conditions)))
+        rule = _widened(rule, table, bad, left)
         covered = rule.covers(table) & left
         p, n = (covered & bad).sum(), covered.sum()
         checked = covered & ~grow

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veclode.llm.common import blocks, column, raw_bytes
+from veclode.llm.common import blocks, column, raw_bytes, stored
 
 ROLLED = 16  # bytes the rolling hash looks back on
 MEAN = 24  # bytes between chunk ends, on average
@@ -146,8 +146,8 @@ def repeated_passages(
     """Passages that several documents share, one row for every document and passage.
 
     ``start`` and ``stop`` are places in code points; ``first_key`` is the least key that
-    holds the passage's chunks and ``kept`` says whether this is that document, which keeps
-    its copy. Passages under ``min_words`` words are not reported; a shared passage loses up
+    holds one of the passage's chunks. ``kept`` passages are the ones whose chunks no document
+    with a lesser key holds: of every chunk one document keeps its copies. Passages under ``min_words`` words are not reported; a shared passage loses up
     to a chunk at either end, so ``min_words`` should be well below the length looked for.
     Null and empty texts have no chunks. Rows with equal keys are the same document, and a
     passage repeated only inside one document is not reported; rows without a key cannot be
@@ -155,16 +155,18 @@ def repeated_passages(
     """
     docs = docs.where(column(docs, key).isNotNull())
     parts = chunks(docs, key, text, mean)
-    shared = (
+    shared = stored(  # a table of its own, so that a very frequent chunk's rows can be split
         parts.groupBy("digest")
         .agg(F.min("key").alias("first_key"), F.max("key").alias("last_key"))
         .where("first_key < last_key")
         .select(F.col("digest").alias("digest_"), "first_key")
     )
     repeated = parts.join(shared, F.col("digest") == F.col("digest_"))
+    repeated = repeated.withColumn("kept", F.col("first_key") == F.col("key"))
     in_row = Window.partitionBy("row").orderBy("start")
-    new = F.coalesce(F.lag("stop").over(in_row) != F.col("start"), F.lit(True))
-    runs = repeated.withColumn("new_", new.cast("int")).withColumn("run", F.sum("new_").over(in_row))
+    goes_on = (F.lag("stop").over(in_row) == F.col("start")) & (F.lag("kept").over(in_row) == F.col("kept"))
+    new = (~F.coalesce(goes_on, F.lit(False))).cast("int")
+    runs = repeated.withColumn("new_", new).withColumn("run", F.sum("new_").over(in_row))
     return (
         runs.groupBy("row", "run")
         .agg(
@@ -174,7 +176,7 @@ def repeated_passages(
             F.sum("n_words").alias("n_words"),
             F.count(F.lit(1)).alias("n_chunks"),
             F.min("first_key").alias("first_key"),
-            F.max("first_key").alias("last_first"),
+            F.first("kept").alias("kept"),
         )
         .where(F.col("n_words") >= min_words)
         .select(
@@ -184,7 +186,7 @@ def repeated_passages(
             "n_words",
             "n_chunks",
             "first_key",
-            (F.col("last_first") == F.col("key")).alias("kept"),
+            "kept",
         )
     )
 

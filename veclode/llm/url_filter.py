@@ -113,27 +113,28 @@ def filter_urls(
     names = [fresh_name(pages, n) for n in ("host", "path", "rule", "verdict")]
     own = column(pages, url)
     judged = pages.withColumns({names[0]: url_host(own), names[1]: url_path(own)})
-    places = judged.select(F.col(names[0]).alias("host_"), F.col(names[1]).alias("path_")).distinct()
+    host, path, best_ = (fresh_name(judged, n) for n in ("asked_host", "asked_path", "best_"))
+    places = judged.select(F.col(names[0]).alias(host), F.col(names[1]).alias(path)).distinct()
 
-    labels = F.split("host_", r"\.")
+    labels = F.split(host, r"\.")
     suffixes = F.transform(
         F.sequence(F.lit(1), F.size(labels)),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
     prefixes = F.transform(
-        F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length("path_")),
-        lambda n: F.substring(F.col("path_"), F.lit(1), n),
+        F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length(path)),
+        lambda n: F.substring(F.col(path), F.lit(1), n),
     )
     fitting = F.flatten(
         F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(F.lit("r:"), s, p)))
     )
-    exact = F.concat(F.lit("u:"), canonical_url(F.col("host_"), F.col("path_")))
+    exact = F.concat(F.lit("u:"), canonical_url(F.col(host), F.col(path)))
     keys = F.concat(fitting, F.array(exact)) if lengths else F.array(exact)
-    asked = places.where("host_ <> ''").select("host_", "path_", F.explode(keys).alias("key"))
+    asked = places.where(F.col(host) != "").select(host, path, F.explode(keys).alias("key"))
 
     hits = possible(asked, entries, blocks).join(entries, "key")
     by_rule = F.col("key").startswith("r:")
-    best = hits.groupBy("host_", "path_").agg(
+    best = hits.groupBy(host, path).agg(
         F.max(
             F.struct(
                 by_rule.alias("by_rule"),
@@ -141,14 +142,11 @@ def filter_urls(
                 "verdict",
                 F.when(by_rule, F.substring("key", 3, 1 << 30)).alias("rule"),
             )
-        ).alias("best_")
+        ).alias(best_)
     )
-    found = judged.join(
-        best, (F.col(names[0]) == F.col("host_")) & (F.col(names[1]) == F.col("path_")), "left"
-    )
-    return found.withColumns(
-        {
-            names[2]: F.col("best_.rule"),
-            names[3]: F.coalesce("best_.verdict", F.lit("allow")),
-        }
-    ).drop("host_", "path_", "best_")
+    same = (F.col(names[0]) == F.col(host)) & (F.col(names[1]) == F.col(path))
+    said = {
+        names[2]: F.col(best_)["rule"],
+        names[3]: F.coalesce(F.col(best_)["verdict"], F.lit("allow")),
+    }
+    return judged.join(best, same, "left").withColumns(said).drop(host, path, best_)
