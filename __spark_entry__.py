@@ -167,7 +167,7 @@ def terms_renumbered(spark, sf_dir):
 
 def lsh_text(spark, sf_dir):
     vectors = tfidf_l2(_words(spark, sf_dir), 256)
-    return lsh_rows(lsh_index(vectors, ANGLE_TEXT, key="doc_id"), "doc_id")
+    return lsh_rows(lsh_index(vectors, ANGLE_TEXT), "doc_id")
 
 
 def title_words(spark, sf_dir):
@@ -305,19 +305,19 @@ def equal_vectors(spark, sf_dir):
 def _lsh(params: LshParams, **options) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark, sf_dir):
         return lsh_rows(
-            lsh_index(_embeddings(spark, sf_dir), params, key="vec_id", **options), "vec_id"
+            lsh_index(_embeddings(spark, sf_dir), params, **options), "vec_id"
         )
 
     return run
 
 
 def bucket_histogram(spark, sf_dir):
-    return lsh_histogram(lsh_index(_embeddings(spark, sf_dir), ANGLE, key="vec_id"))
+    return lsh_histogram(lsh_index(_embeddings(spark, sf_dir), ANGLE))
 
 
 def bucket_lines(spark, sf_dir):
     items = _items(spark, sf_dir).withColumn("features", V.dense_to_sparse(F.col("features")))
-    indexed = lsh_index(items, ANGLE_ITEM, key="l_orderkey")
+    indexed = lsh_index(items, ANGLE_ITEM)
     line = sinks.lsh_line(F.col("features"), F.col("l_orderkey"), F.col("buckets"))
     return indexed.select(line.alias("line"))
 

@@ -11,10 +11,10 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="tables not he
 
 
 def plan(spark, name):
-    return entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().toString()
+    return entry.own_queries()[name](spark, SF_DIR)._jdf.queryExecution().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.own_queries()))
 def test_no_cross_joins_and_no_row_wise_python(spark, name):
     text = plan(spark, name)
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "MapInPandas"):

@@ -26,10 +26,10 @@ def canonical(columns, rows):
     return sorted(repr([r[i] + 0.0 if isinstance(r[i], float) else r[i] for i in order]) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.own_oracle_sql()))
 def test_query(spark, duck, name):
-    df = entry.queries()[name](spark, SF_DIR)
-    expected = duck.sql(entry.oracle_sql()[name])
+    df = entry.own_queries()[name](spark, SF_DIR)
+    expected = duck.sql(entry.own_oracle_sql()[name])
     assert sorted(df.columns) == sorted(expected.columns)
     got = canonical(df.columns, df.collect())
     assert got and got == canonical(expected.columns, expected.fetchall())

@@ -83,4 +83,5 @@ def between_tags(text: Column, tag: str) -> Column:
 
 def last_record(text: Column, tag: str) -> Column:
     """Text from the last opening ``<tag`` on; null when there is none."""
-    return F.get(F.regexp_extract_all(text, F.lit(rf"(?s).*(<{tag}[\s>].*)"), 1), F.lit(0))
+    last = F.element_at(F.split(text, rf"(?=<{tag}[\s>])"), -1)
+    return F.when(last.rlike(rf"\A<{tag}[\s>]"), last)

@@ -132,17 +132,17 @@ def dense_dot(a: Column, b: Column) -> Column:
 
 
 def vectors_equal(a: Column, b: Column) -> Column:
-    """Equality by dense content: stored zeros do not matter, keys do not take part."""
+    """Equality by dense content: stored zeros and order do not matter, keys take no part."""
 
     def stored(v: Column) -> Column:
-        return F.filter(entries(v), lambda e: e["value"] != 0)
+        return F.sort_array(F.filter(entries(v), lambda e: e["value"] != 0))
 
     return (a["size"] == b["size"]) & (stored(a) == stored(b))
 
 
 def vector_hash(vector: Column) -> Column:
     """Equal vectors (see :func:`vectors_equal`) hash alike."""
-    stored = F.filter(entries(vector), lambda e: e["value"] != 0)
+    stored = F.sort_array(F.filter(entries(vector), lambda e: e["value"] != 0))
     return F.xxhash64(vector["size"], stored)
 
 
@@ -220,6 +220,24 @@ def _numbers(text: Column, kind: str) -> Column:
     return let(parsed, lambda p: F.when(~F.exists(p, lambda x: x.isNull()), p))
 
 
+def _sound(v: Column) -> Column:
+    """As many indices as values, none twice, all inside the size."""
+    n = F.size(v["indices"])
+    inside = (F.array_min(v["indices"]) >= 0) & (F.array_max(v["indices"]) < v["size"])
+    return (
+        v["size"].isNotNull()
+        & (n == F.size(v["values"]))
+        & ((n == 0) | (inside & (F.size(F.array_distinct(v["indices"])) == n)))
+    )
+
+
+def _ordered(v: Column) -> Column:
+    """The same vector with its entries in order of their indices."""
+    return let(
+        F.sort_array(entries(v)), lambda e: sparse(v["size"], e["idx"], e["value"])
+    )
+
+
 def parse_sparse(text: Column) -> Column:
     """Any of the three sparse forms -> ``struct<key bigint, vector>``; null if malformed.
 
@@ -236,12 +254,8 @@ def parse_sparse(text: Column) -> Column:
 
         def check(r: Column) -> Column:
             v = r["vector"]
-            ok = (
-                v["size"].isNotNull()
-                & (F.size(v["indices"]) == F.size(v["values"]))
-                & (F.size(r["head"]) <= 2)
-            )
-            return F.when(ok, F.struct(r["key"].alias("key"), v.alias("vector")))
+            ok = _sound(v) & (F.size(r["head"]) <= 2)
+            return F.when(ok, F.struct(r["key"].alias("key"), _ordered(v).alias("vector")))
 
         parts = let(
             head,
@@ -288,11 +302,7 @@ def parse_labeled(text: Column) -> Column:
 
     def check(r: Column) -> Column:
         f = r["features"]
-        ok = (
-            r["label"].isNotNull()
-            & f["size"].isNotNull()
-            & (F.size(f["indices"]) == F.size(f["values"]))
-        )
-        return F.when(ok, r)
+        ok = r["label"].isNotNull() & _sound(f)
+        return F.when(ok, F.struct(r["label"].alias("label"), _ordered(f).alias("features")))
 
     return let(let(F.split(text, r"[\[\]]"), build), check)

@@ -6,19 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .lookup import lookup_join
 from .ranking import TAKE_ORDERED_ROWS, top_rows
 from .tfidf import keep_terms
 
-# The test is for categories: more label values than this are refused.
-MAX_LABELS = 10_000
-
 
 def chi_square(df: DataFrame, features: str = "features", label: str = "label") -> DataFrame:
     """``idx, chi2`` for every index of the vectors; values and labels count as categories.
 
     One pass counts the non-zero cells; the row of zeros follows from the label totals.
     With n rows in all, O the count of a cell, R and C the totals of its value and label,
-    chi2 = n (sum O^2/(R C) - 1).
+    chi2 = n (sum O^2/(R C) - 1). Rows without a label take no part.
     """
     spark = df.sparkSession
     # index -1 stands in every row: its cells are the label totals, its value the width
@@ -26,7 +24,8 @@ def chi_square(df: DataFrame, features: str = "features", label: str = "label")
     indices = F.concat(F.array(F.lit(-1)), vector["indices"])
     values = F.concat(F.array(vector["size"].cast("double")), vector["values"])
     cells = cut_lineage(
-        df.select(F.col(label).cast("double"), F.inline(F.arrays_zip(indices, values)))
+        df.filter(F.col(label).isNotNull())
+        .select(F.col(label).cast("double"), F.inline(F.arrays_zip(indices, values)))
         .toDF("label", "idx", "value")
         .filter("value != 0")
         .groupBy("idx", "value", "label")
@@ -36,17 +35,10 @@ def chi_square(df: DataFrame, features: str = "features", label: str = "label")
         cells.filter("idx = -1")
         .groupBy("label")
         .agg(F.sum("o").alias("c"), F.max("value").cast("int").alias("size"))
-        .limit(MAX_LABELS + 1)
-        .collect()
-    )
-    if len(totals) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} label values; labels must be categories")
-    n = float(sum(r["c"] for r in totals))
-    # at most MAX_LABELS rows
-    label_totals = F.broadcast(
-        spark.createDataFrame([(r["label"], r["c"]) for r in totals], "label double, c bigint")
     )
-    cells = cells.filter("idx >= 0").join(label_totals, "label")
+    n, last = totals.agg(F.sum("c").cast("double"), F.max("size")).head()
+    n, last = n or 0.0, last or 0
+    cells = lookup_join(cells.filter("idx >= 0"), totals.select("label", "c"), "label", "idx")
     by_value = cells.groupBy("idx", "value").agg(
         (F.sum(F.col("o") * F.col("o") / F.col("c")) / F.sum("o")).alias("part")
     )
@@ -62,7 +54,6 @@ def chi_square(df: DataFrame, features: str = "features", label: str = "label")
     zero_rows = n - F.col("nz")
     zero_part = F.when(zero_rows > 0, (n - 2 * F.col("nz") + F.col("sq")) / zero_rows).otherwise(0.0)
     chi2 = n * (F.col("part") + zero_part - 1)
-    last = max((r["size"] for r in totals), default=0)
     all_indices = spark.range(last).select(F.col("id").cast("int").alias("idx"))
     return all_indices.join(sums, "idx", "left").select(
         "idx", F.coalesce(chi2, F.lit(0.0)).alias("chi2")
@@ -74,7 +65,6 @@ def chi_square_select(
     n: int,
     features: str = "features",
     label: str = "label",
-    key: str = "id",
     take_rows: int = TAKE_ORDERED_ROWS,
 ) -> DataFrame:
     """Keep the n indices of greatest statistic, renumbered in their original order.
@@ -84,4 +74,4 @@ def chi_square_select(
     """
     stats = cut_lineage(chi_square(df, features, label)).withColumn("chi2", F.round("chi2", 9))
     chosen = top_rows(stats, [("chi2", "desc"), ("idx", "asc")], n, take_rows)
-    return keep_terms(df, chosen, features, key, remap=True, drop_empty=False)
+    return keep_terms(df, chosen, features, remap=True, drop_empty=False)

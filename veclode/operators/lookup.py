@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import let
-from ..session import table_bytes
+from ..session import cut_lineage, table_bytes
 
 # A table measured at up to this many bytes is broadcast.
 BROADCAST_BYTES = 64 << 20
@@ -37,7 +37,6 @@ def lookup_join(
 
 def match_elements(
     df: DataFrame,
-    key: str,
     elements: Column,
     table: DataFrame,
     on: str,
@@ -49,13 +48,15 @@ def match_elements(
 
     Adds ``out``: ``array<struct<pos, on, other table columns>>`` in element order. With
     an inner join, elements without a match are left out, and so are rows without any.
-    ``key`` must be unique.
+    Rows are told apart by a number of their own, fixed by a written table; columns of
+    ``df`` may hold nulls and repeats.
 
     Equal elements of a row are folded into one, with their positions, before anything is
     shuffled. What is regrouped is one row's own array, never more.
     """
-    exploded = df.select(key, F.inline(_positions(elements))).toDF(key, on, "_pos")
-    found = lookup_join(exploded, table, on, key, how, broadcast_bytes)
+    df = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
+    exploded = df.select("_row", F.inline(_positions(elements))).toDF("_row", on, "_pos")
+    found = lookup_join(exploded, table, on, "_row", how, broadcast_bytes)
     others = [c for c in table.columns if c != on]
     folded = F.collect_list(F.struct(on, "_pos", *others))
     unfolded = F.transform(
@@ -64,15 +65,14 @@ def match_elements(
             e["_pos"], lambda p: F.struct(p.alias("pos"), *(e[c].alias(c) for c in (on, *others)))
         ),
     )
-    regrouped = found.groupBy(key).agg(F.sort_array(F.flatten(unfolded)).alias(out))
-    return df.join(regrouped, key, "inner" if how == "inner" else "left")
+    regrouped = found.groupBy("_row").agg(F.sort_array(F.flatten(unfolded)).alias(out))
+    return df.join(regrouped, "_row", "inner" if how == "inner" else "left").drop("_row")
 
 
 def _positions(elements: Column) -> Column:
-    """``array<struct<element, array of its positions>>``."""
-    placed = F.sort_array(
-        F.transform(elements, lambda e, i: F.struct(e.alias("e"), i.alias("pos")))
-    )
+    """``array<struct<element, array of its positions>>``; null elements are left out."""
+    numbered = F.transform(elements, lambda e, i: F.struct(e.alias("e"), i.alias("pos")))
+    placed = F.sort_array(F.filter(numbered, lambda s: s["e"].isNotNull()))
 
     def fold(s: Column) -> Column:
         starts = F.filter(

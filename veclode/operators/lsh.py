@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from ..functions import vectors as V
+from ..session import cut_lineage
 from .lookup import lookup_join
 
 # Executors get these functions with the job; they need not have the package installed.
@@ -172,12 +173,15 @@ def _bucket_column(params: LshParams, vector: Column, dense: bool, bucketing: Bu
                     raise ValueError(f"every vector must have {dim} dimensions")
                 yield from_dots(_dense_dots(flat, matrix))
 
-        return hash_dense.asNondeterministic()(vector)
+        filled = F.coalesce(vector, F.array_repeat(F.lit(0.0), dim))
+        return F.when(vector.isNotNull(), hash_dense.asNondeterministic()(filled))
 
     @F.arrow_udf(kind)
-    def hash_sparse(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for indices, values in batches:
-            lengths = indices.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    def hash_sparse(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for sizes, indices, values in batches:
+            if set(sizes.unique().to_pylist()) - {dim, None}:
+                raise ValueError(f"every vector must have {dim} dimensions")
+            lengths = indices.value_lengths().fill_null(0).to_numpy().astype(np.int64)
             dots = _sparse_dots(
                 indices.flatten().to_numpy(zero_copy_only=False),
                 values.flatten().to_numpy(zero_copy_only=False),
@@ -186,29 +190,39 @@ def _bucket_column(params: LshParams, vector: Column, dense: bool, bucketing: Bu
             )
             yield from_dots(dots)
 
-    return hash_sparse.asNondeterministic()(vector["indices"], vector["values"])
+    buckets = hash_sparse.asNondeterministic()(vector["size"], vector["indices"], vector["values"])
+    return F.when(vector.isNotNull(), buckets)
 
 
-def _joined_dots(df: DataFrame, params: LshParams, features: str, key: str) -> DataFrame:
+def _joined_dots(df: DataFrame, params: LshParams, features: str, dense: bool) -> DataFrame:
     """Dot products when the projections are too many to ship: join entries with coefficients."""
     spark = df.sparkSession
+    vector = F.col(features)
+    size = F.size(vector) if dense else vector["size"]
+    message = F.lit(f"every vector must have {params.dim} dimensions")
+    fits = F.when(vector.isNull() | (size == params.dim), vector).otherwise(F.raise_error(message))
+    # rows are told apart by a number of their own, fixed by a written table
+    df = cut_lineage(
+        df.withColumn(features, fits).withColumn("_row", F.monotonically_increasing_id())
+    )
+    inlined = F.posexplode(vector) if dense else V.inline_entries(vector)
     flat = params.a.reshape(-1, params.dim).T
     coefficients = spark.createDataFrame(
         pa.table({"idx": np.arange(params.dim, dtype=np.int32), "a": list(flat)})
     )
-    entries = df.select(key, V.inline_entries(F.col(features))).toDF(key, "idx", "value")
-    products = lookup_join(entries, coefficients, "idx", key, broadcast_bytes=0)
+    entries = df.select("_row", inlined).toDF("_row", "idx", "value")
+    products = lookup_join(entries, coefficients, "idx", "_row", broadcast_bytes=0)
     sums = [F.sum(F.col("value") * F.col("a")[f]).alias(f"d{f}") for f in range(flat.shape[1])]
-    dots = products.groupBy(key).agg(F.array(*sums).alias("_dots"))
+    dots = products.groupBy("_row").agg(F.array(*sums).alias("_dots"))
     zero = F.array_repeat(F.lit(0.0), flat.shape[1])
-    return df.join(dots, key, "left").withColumn("_dots", F.coalesce("_dots", zero))
+    found = F.when(vector.isNotNull(), F.coalesce("_dots", zero))
+    return df.join(dots, "_row", "left").withColumn("_dots", found).drop("_row")
 
 
 def lsh_index(
     df: DataFrame,
     params: LshParams,
     features: str = "features",
-    key: str = "id",
     rounding: str = "floor",
     chain: str = "all",
     bucketing: Bucketing | None = None,
@@ -221,7 +235,8 @@ def lsh_index(
     p-stable bucket joins the whole chain's numbers by ``:``; with ``chain="first"`` it
     is the first projection's number alone, a bigint. ``rounding`` is ``floor`` or
     ``trunc`` (toward zero). ``bucketing`` replaces the family's own rule: from dot
-    products (rows x tables x chain), ``b`` and ``w`` to rows x tables numbers.
+    products (rows x tables x chain), ``b`` and ``w`` to rows x tables numbers. A null
+    vector has null buckets; a vector of another size ends the job.
     """
     if rounding not in ("floor", "trunc") or chain not in ("all", "first"):
         raise ValueError("rounding is floor or trunc, chain is all or first")
@@ -249,15 +264,13 @@ def lsh_index(
             out, _bucket_column(params, F.col(features), dense, bucketing, depth)
         )
     else:
-        if dense:
-            raise ValueError("projections this wide need sparse vectors")
         identity = LshParams(
             params.family,
             np.eye(params.tables * params.chain).reshape(params.tables, params.chain, -1),
             params.b,
             params.w,
         )
-        hashed = _joined_dots(df, params, features, key)
+        hashed = _joined_dots(df, params, features, dense)
         hashed = hashed.withColumn(
             out, _bucket_column(identity, F.col("_dots"), True, bucketing, depth)
         ).drop("_dots")

@@ -29,17 +29,22 @@ INLINE_VALUES = 20_000
 SHIPPED_BYTES = 64 << 20
 
 
-def _lists(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
+def _lists(batch: pa.ListArray, offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
+    """New lists for a batch; its nulls stay null."""
+    mask = batch.is_null() if batch.null_count else None
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values, mask=mask)
 
 
 def _offsets(batch: pa.ListArray) -> np.ndarray:
-    lengths = batch.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    lengths = batch.value_lengths().fill_null(0).to_numpy().astype(np.int64)
     return np.concatenate([[0], np.cumsum(lengths)])
 
 
 def keep_members(words: Column, members: pa.Array) -> Column:
-    """The elements of a string array that are members; order and repeats stay."""
+    """The elements of a string array that are members; order and repeats stay.
+
+    Null elements are no members; a null array stays null.
+    """
 
     @F.arrow_udf("array<string>")
     def keep(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -47,7 +52,7 @@ def keep_members(words: Column, members: pa.Array) -> Column:
             flat = batch.flatten()
             known = pc.is_in(flat, value_set=members.cast(flat.type))
             kept_before = np.concatenate([[0], np.cumsum(known.to_numpy(zero_copy_only=False))])
-            yield _lists(kept_before[_offsets(batch)], flat.filter(known))
+            yield _lists(batch, kept_before[_offsets(batch)], flat.filter(known))
 
     return keep.asNondeterministic()(words)
 
@@ -63,6 +68,6 @@ def values_at(table: np.ndarray, indices: Column, inline_values: int = INLINE_VA
     def gather(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             found = table[batch.flatten().to_numpy(zero_copy_only=False)]
-            yield _lists(_offsets(batch), pa.array(found))
+            yield _lists(batch, _offsets(batch), pa.array(found))
 
     return gather.asNondeterministic()(indices)

@@ -56,6 +56,8 @@ def string_hashes(words: pa.Array) -> np.ndarray:
 def count_terms(words: Column, num_features: int) -> Column:
     """Word array -> sparse vector of how often each feature index occurs.
 
+    Null words are skipped; a null array gives null.
+
     Marked nondeterministic so the optimizer neither copies it nor runs it twice.
     """
 
@@ -63,11 +65,14 @@ def count_terms(words: Column, num_features: int) -> Column:
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             rows = len(batch)
-            lengths = batch.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            coded = batch.flatten().dictionary_encode()
+            lengths = batch.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+            flat, row = batch.flatten(), np.repeat(np.arange(rows), lengths)
+            if flat.null_count:
+                row = row[flat.is_valid().to_numpy(zero_copy_only=False)]
+                flat = flat.drop_null()
+            coded = flat.dictionary_encode()
             index = np.mod(string_hashes(coded.dictionary), num_features)
             found = index[coded.indices.to_numpy(zero_copy_only=False)]
-            row = np.repeat(np.arange(rows), lengths)
             cells, counts = np.unique(row * num_features + found, return_counts=True)
             starts = np.searchsorted(cells, np.arange(rows + 1) * num_features)
             offsets = pa.array(starts.astype(np.int32))
@@ -80,6 +85,7 @@ def count_terms(words: Column, num_features: int) -> Column:
                     pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.float64))),
                 ],
                 names=["size", "indices", "values"],
+                mask=batch.is_null(),
             )
 
     return count.asNondeterministic()(words)

@@ -78,14 +78,12 @@ def apply_idf(
     df: DataFrame,
     idf: Idf,
     features: str = "features",
-    key: str = "doc_id",
     inline_values: int = INLINE_VALUES,
     shipped_bytes: int = SHIPPED_BYTES,
 ) -> DataFrame:
     """Multiply term frequencies by their IDF; a weight of 0 stays stored.
 
-    IDF values of bounded size are looked up inside the row. Wider ones are joined, which
-    needs a unique ``key``.
+    IDF values of bounded size are looked up inside the row. Wider ones are joined.
     """
     vector = F.col(features)
     unseen = math.log(idf.documents + 1)
@@ -94,11 +92,12 @@ def apply_idf(
         df = df.withColumn("_idf", values_at(dense, vector["indices"], inline_values))
     else:
         table = idf.table.select("idx", "idf")
-        df = match_elements(df, key, vector["indices"], table, "idx", "_found", how="left")
+        df = match_elements(df, vector["indices"], table, "idx", "_found", how="left")
         found = F.transform("_found", lambda f: F.coalesce(f["idf"], F.lit(unseen)))
         df = df.withColumn("_idf", F.coalesce(found, F.array().cast("array<double>")))
     weights = F.zip_with(F.col("_idf"), vector["values"], lambda f, tf: tf * f)
     weighted = V.sparse(vector["size"], vector["indices"], weights)
+    weighted = F.when(vector.isNotNull(), weighted)
     return df.withColumn(features, weighted).drop("_idf", "_found")
 
 
@@ -117,7 +116,8 @@ def l2_normalize(df: DataFrame, features: str = "features") -> DataFrame:
             ),
         )
 
-    return df.withColumn(features, let(F.col(features), scale))
+    vector = F.col(features)
+    return df.withColumn(features, F.when(vector.isNotNull(), let(vector, scale)))
 
 
 def tfidf_l2(
@@ -125,12 +125,11 @@ def tfidf_l2(
     num_features: int,
     words: str = "words",
     features: str = "features",
-    key: str = "doc_id",
     hash: str = "string",
 ) -> DataFrame:
     """Words -> L2-normalized TF-IDF vectors. The TF vectors are computed once and kept."""
     tf = cut_lineage(hashing_tf(df, num_features, words, features, hash).drop(words))
-    return l2_normalize(apply_idf(tf, fit_idf(tf, num_features, features), features, key), features)
+    return l2_normalize(apply_idf(tf, fit_idf(tf, num_features, features), features), features)
 
 
 def to_long(df: DataFrame, key: str, features: str = "features", value: str = "value") -> DataFrame:
@@ -159,7 +158,6 @@ def keep_terms(
     df: DataFrame,
     terms: DataFrame,
     features: str = "features",
-    key: str = "doc_id",
     remap: bool = False,
     drop_empty: bool = True,
     inline_values: int = INLINE_VALUES,
@@ -168,7 +166,7 @@ def keep_terms(
     """Keep only the listed indices, then (``drop_empty``) drop vectors left empty.
 
     The width stays as it was; ``remap`` renumbers the kept indices 0..k-1 and
-    shrinks the width to k. A long list is joined, which needs a unique ``key``.
+    shrinks the width to k. A long list is joined.
     """
     terms = cut_lineage(terms.select("idx"))
     size, last = terms.agg(F.count("idx"), F.max("idx")).head()
@@ -185,7 +183,7 @@ def keep_terms(
             table = with_row_index(terms, [("idx", "asc")], "place")
         else:
             table = terms.withColumn("place", F.col("idx"))
-        df = match_elements(df, key, vector["indices"], table, "idx", "_found", how="left")
+        df = match_elements(df, vector["indices"], table, "idx", "_found", how="left")
         found = F.transform("_found", lambda f: F.coalesce(f["place"], F.lit(-1)).cast("int"))
         df = df.withColumn("_place", F.coalesce(found, F.array().cast("array<int>")))
     placed = F.zip_with(

@@ -46,14 +46,13 @@ def keep_vocab(
     df: DataFrame,
     vocab: Vocabulary,
     words: str = "words",
-    key: str = "doc_id",
     inline_words: int = INLINE_WORDS,
     shipped_bytes: int = SHIPPED_BYTES,
 ) -> DataFrame:
     """Drop words outside the vocabulary (order and repeats stay), then empty documents.
 
     A vocabulary of bounded size is tested inside the row and nothing is shuffled: as a
-    constant, or sent to the tasks. A larger one is joined, which needs a unique ``key``.
+    constant, or sent to the tasks. A larger one is joined.
     """
     if vocab.size == 0:
         return df.limit(0)
@@ -66,6 +65,6 @@ def keep_vocab(
         members = table.toArrow().column("word").combine_chunks()
         pruned = keep_members(F.col(words), members)
     else:
-        matched = match_elements(df, key, F.col(words), table, "word", "_kept")
+        matched = match_elements(df, F.col(words), table, "word", "_kept")
         return matched.withColumn(words, F.col("_kept")["word"]).drop("_kept")
     return with_bound_column(df, words, pruned).filter(F.size(words) >= 1)

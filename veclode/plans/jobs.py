@@ -34,7 +34,7 @@ def text_tfidf(docs: DataFrame, fraction: float = 0.005, key: str = "doc_id") ->
     """
     worded = docs.select(key, tokens(F.col("content")).alias("words"))
     vocab = top_fraction_vocab(word_count(worded), fraction)
-    return tfidf_l2(keep_vocab(worded, vocab, key=key), max(vocab.size, 1), key=key)
+    return tfidf_l2(keep_vocab(worded, vocab), max(vocab.size, 1))
 
 
 def mail_vectors(
@@ -57,10 +57,10 @@ def hash_vectors(
 ) -> DataFrame:
     """Sparse vectors -> buckets in every table (``out``) and bucket sizes (``out_histogram``).
 
-    Vectors without a key of their own are numbered, with gaps.
+    Vectors without a key of their own get distinct negative numbers; keys count from 0.
     """
     vectors = read_sparse_vectors(spark, path).select(
-        F.coalesce("key", F.monotonically_increasing_id()).alias("id"),
+        F.coalesce("key", -1 - F.monotonically_increasing_id()).alias("id"),
         F.col("vector").alias("features"),
     )
     indexed = cut_lineage(lsh_index(vectors, params, **options))
@@ -107,8 +107,7 @@ def libsvm_points(
     """
     points = read_libsvm(spark, path, num_features)
     if select is not None:
-        points = cut_lineage(points.withColumn("id", F.monotonically_increasing_id()))
-        points = chi_square_select(points, select).drop("id")
+        points = chi_square_select(points, select)
     points = points.withColumn("label", positive_or_zero(F.col("label")))
     return sinks.write_labeled_points(points, out, fmt, partitions)
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import tempfile
 import uuid
 from collections.abc import Iterable
 
@@ -13,14 +12,13 @@ from pyspark.sql.types import BinaryType, StringType
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder checkpoints go to; made up only for a local session."""
+    """The folder checkpoints go to. Where ``spark.checkpoint.dir`` is unset it is one below
+    the warehouse, which a cluster's executors share."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="veclode-checkpoint-")
+            folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
         sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
@@ -30,7 +28,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     Used where several jobs read the same intermediate result: a lost executor then
     costs a re-read, not a re-run of everything before it. Being Parquet, the table is
-    counted from its footers and read by column.
+    counted from its footers and read by column. The order of rows is not kept.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4()}"
