@@ -45,7 +45,7 @@ class _Hashes(dict):
     """64-bit hashes of words, remembered for a bounded number of words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
+        if len(self) >= 200_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
