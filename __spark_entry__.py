@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,8 @@ from veclode.operators.dimensions import (  # noqa: E402
     top_variance_dims,
 )
 from veclode.operators.lsh import (  # noqa: E402
+    FOLD,
+    Family,
     LshParams,
     lsh_histogram,
     lsh_index,
@@ -48,7 +52,9 @@ from veclode.operators.tfidf import (  # noqa: E402
 from veclode.operators.vocabulary import keep_vocab, top_fraction_vocab, word_count  # noqa: E402
 from veclode.plans.jobs import text_tfidf, title_points  # noqa: E402
 from veclode.sources.bibliography import article_fields  # noqa: E402
-from veclode.session import spread_small  # noqa: E402
+from veclode.session import ensure_checkpoint_dir, spread_small  # noqa: E402
+from veclode.sources.lsh_files import hash_function_fields  # noqa: E402
+from veclode.sources.points import read_libsvm  # noqa: E402
 from veclode.sources.tables import keyed_fields, labeled_fields  # noqa: E402
 
 try:
@@ -66,6 +72,23 @@ ANGLE_SIGNED = lsh_params(
 PSTABLE = lsh_params("pstable", 64, family_size=12, tables=3, chain=4, seed=13, w=1)
 ANGLE_TEXT = lsh_params("angle", 256, family_size=8, tables=2, chain=4, seed=14)
 ANGLE_ITEM = lsh_params("angle", 3, family_size=8, tables=2, chain=4, seed=15)
+
+
+def _signed_max() -> Family:
+    """Bucket: the chained projection of greatest magnitude and its sign, as one number."""
+
+    def draw(rng, size, dim):
+        return rng.standard_normal((size, dim)), np.zeros(size)
+
+    def bucketing(dots, b, w):
+        place = np.abs(dots).argmax(axis=2)
+        greatest = np.take_along_axis(dots, place[:, :, None], axis=2)[:, :, 0]
+        return 2 * place + (greatest < 0)
+
+    return Family("signed_max", draw, bucketing)
+
+
+SIGNED_MAX = lsh_params(_signed_max(), 64, family_size=16, tables=3, chain=6, seed=16)
 SPLIT_SEED = 7
 TERM_FRACTION = 0.05
 
@@ -178,25 +201,25 @@ def title_words(spark, sf_dir):
 
 
 def bibliography_titles(spark, sf_dir):
-    """Pages written as bibliography records, then read by the record parser."""
-    title = between_tags(F.col("html"), "title")
-    year = (1990 + F.length("url") % 30).cast("string")
+    """Orders written as bibliography records, then read by the record parser."""
+    title = F.concat_ws(" ", "o_orderpriority", F.lit("Order"), "o_orderstatus", "o_custkey")
+    year = F.year("o_orderdate").cast("string")
     record = F.concat(
         F.lit("<book><title>Other</title><year>1</year></book>\n<article key='"),
-        F.col("page_id").cast("string"),
+        F.col("o_orderkey").cast("string"),
         F.lit("'>\n<title>"),
         title,
-        F.lit("</title>\n<year>"),
+        F.lit(".</title>\n<year>"),
         year,
         F.lit("</year>\n"),
     )
     articles = (
-        _table(spark, sf_dir, "pages")
-        .select("page_id", article_fields(record).alias("r"))
-        .select("page_id", "r.*")
+        _table(spark, sf_dir, "orders")
+        .select("o_orderkey", article_fields(record).alias("r"))
+        .select("o_orderkey", "r.*")
     )
-    points = title_points(articles, 1000)
-    return _entries(points, "page_id", "label", value="tf")
+    points = title_points(articles, 1000, last_old_year=1997)
+    return _entries(points, "o_orderkey", "label", value="tf")
 
 
 # --- vectors ----------------------------------------------------------------------
@@ -280,10 +303,9 @@ def sparse_roundtrip(spark, sf_dir):
 
 
 def neighbour_dots(spark, sf_dir):
-    """Dot product of each vector with the next, small coordinates left out."""
-    large = F.transform("features", lambda x: F.when(F.abs(x) >= 0.1, x).otherwise(F.lit(0.0)))
+    """Dot product of each vector with the next."""
     vectors = _embeddings(spark, sf_dir).select(
-        "vec_id", V.dense_to_sparse(large).alias("features")
+        "vec_id", V.dense_to_sparse(F.col("features")).alias("features")
     )
     first = vectors.select(F.col("vec_id").alias("a"), F.col("features").alias("va"))
     second = vectors.select(F.col("vec_id").alias("b"), F.col("features").alias("vb"))
@@ -302,6 +324,27 @@ def equal_vectors(spark, sf_dir):
     )
 
 
+def vector_equality(spark, sf_dir):
+    """Each line item's vector against that of the next line of its order, stored backwards."""
+    items = _items(spark, sf_dir).withColumn("features", V.dense_to_sparse(F.col("features")))
+    backwards = V.sparse(
+        F.col("features")["size"],
+        F.reverse(F.col("features")["indices"]),
+        F.reverse(F.col("features")["values"]),
+    )
+    following = items.select(
+        "l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"), backwards.alias("other")
+    )
+    pairs = items.join(following, ["l_orderkey", "l_linenumber"])
+    here, there = F.col("features"), F.col("other")
+    return pairs.select(
+        "l_orderkey",
+        "l_linenumber",
+        V.vectors_equal(here, there).alias("equal"),
+        (V.vector_hash(here) == V.vector_hash(there)).alias("same_hash"),
+    )
+
+
 def _lsh(params: LshParams, **options) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark, sf_dir):
         return lsh_rows(
@@ -311,6 +354,26 @@ def _lsh(params: LshParams, **options) -> Callable[[SparkSession, str], DataFram
     return run
 
 
+def hash_function_lines(spark, sf_dir):
+    """Vectors written as lines of a hash-function file and read back."""
+    lines = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        "vec_id",
+        F.concat_ws(
+            ";",
+            V.format_sparse(V.dense_to_sparse(F.col("embedding"))),
+            F.col("label").cast("string"),
+            (F.col("label") + 1).cast("string"),
+        ).alias("line"),
+    )
+    read = lines.select("vec_id", hash_function_fields(F.col("line")).alias("f"))
+    return read.select(
+        "vec_id",
+        F.posexplode("f.a").alias("pos", "coefficient"),
+        F.col("f.b").alias("b"),
+        F.col("f.w").alias("w"),
+    )
+
+
 def bucket_histogram(spark, sf_dir):
     return lsh_histogram(lsh_index(_embeddings(spark, sf_dir), ANGLE))
 
@@ -384,6 +447,15 @@ def point_roundtrip(spark, sf_dir):
     return _entries(points.select("r.*"), "label")
 
 
+def libsvm_roundtrip(spark, sf_dir):
+    """Line items written as LibSVM lines and read back."""
+    items = _items(spark, sf_dir).withColumnRenamed("l_linenumber", "label")
+    points = items.select("label", V.dense_to_sparse(F.col("features")).alias("features"))
+    path = f"{ensure_checkpoint_dir(spark)}/libsvm-{uuid.uuid4()}"
+    sinks.write_labeled_points(points, path, "libsvm")
+    return _entries(read_libsvm(spark, path, 3), "label")
+
+
 def label_year(spark, sf_dir):
     year = F.year("o_orderdate")
     return _table(spark, sf_dir, "orders").select(
@@ -458,9 +530,14 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sparse_roundtrip": sparse_roundtrip,
         "sparse_dot": neighbour_dots,
         "equal_vectors": equal_vectors,
+        "vector_equality": vector_equality,
+        "hash_function_lines": hash_function_lines,
+        "libsvm_roundtrip": libsvm_roundtrip,
         "lsh_angle": _lsh(ANGLE),
         "lsh_angle_uniform_sign": _lsh(ANGLE_SIGNED),
         "lsh_pstable": _lsh(PSTABLE),
+        "lsh_pstable_folded": _lsh(PSTABLE, chain="folded"),
+        "lsh_own_family": _lsh(SIGNED_MAX),
         "lsh_pstable_first": _lsh(PSTABLE, chain="first", rounding="trunc"),
         "lsh_text": lsh_text,
         "lsh_histogram": bucket_histogram,
@@ -681,11 +758,19 @@ SELECT vec_id, form::INTEGER AS form, CASE WHEN form > 0 THEN vec_id END AS key,
        round(list_sum(embedding::DOUBLE[]), 6) AS total
 FROM embeddings, range(3) AS forms(form)""",
         "sparse_dot": """
-WITH large AS (
-  SELECT vec_id, list_transform(embedding::DOUBLE[],
-           lambda x: CASE WHEN abs(x) >= 0.1 THEN x ELSE 0 END)::DOUBLE[] AS v FROM embeddings)
-SELECT a.vec_id AS a, b.vec_id AS b, round(list_inner_product(a.v, b.v), 6) AS dot
-FROM large a JOIN large b ON b.vec_id = a.vec_id + 1""",
+SELECT a.vec_id AS a, b.vec_id AS b,
+       round(list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS dot
+FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""",
+        "vector_equality": f"""
+WITH {_ITEMS}, next_ AS (SELECT l_orderkey, l_linenumber - 1 AS l_linenumber, x FROM items)
+SELECT l_orderkey, l_linenumber, a.x = b.x AS equal, a.x = b.x AS same_hash
+FROM items a JOIN next_ b USING (l_orderkey, l_linenumber)""",
+        "hash_function_lines": """
+SELECT vec_id, unnest(range(len(embedding)))::INTEGER AS pos,
+       unnest(embedding)::DOUBLE AS coefficient, label::DOUBLE AS b, (label + 1)::DOUBLE AS w
+FROM embeddings""",
+        "libsvm_roundtrip": f"WITH {_ITEMS} SELECT l_linenumber::DOUBLE AS label, idx, value"
+        " FROM entries WHERE value <> 0",
         "equal_vectors": """
 SELECT l_quantity AS quantity, l_discount AS discount, l_tax AS tax, count(*) AS n
 FROM lineitem GROUP BY ALL""",
@@ -697,6 +782,15 @@ FROM lineitem GROUP BY ALL""",
         "lsh_pstable": f"WITH {_params_sql(PSTABLE)}{_DOTS} SELECT vec_id, table_id::INTEGER AS table_id,"
         " string_agg(floor((dot + b) / w)::BIGINT::VARCHAR, ':' ORDER BY pos) AS bucket"
         " FROM dots GROUP BY vec_id, table_id",
+        "lsh_pstable_folded": f"WITH {_params_sql(PSTABLE)}{_DOTS}, chains AS ("
+        "SELECT vec_id, table_id, list(floor((dot + b) / w)::HUGEINT ORDER BY pos) AS numbers"
+        " FROM dots GROUP BY vec_id, table_id), folded AS (SELECT vec_id, table_id, list_reduce("
+        f"list_prepend(0::HUGEINT, numbers), lambda h, x: ((h * {FOLD} + x) % {2**64} + {2**64})"
+        f" % {2**64}) AS h FROM chains) SELECT vec_id, table_id::INTEGER AS table_id,"
+        f" (CASE WHEN h >= {2**63} THEN h - {2**64} ELSE h END)::BIGINT AS bucket FROM folded",
+        "lsh_own_family": f"WITH {_params_sql(SIGNED_MAX)}{_DOTS} SELECT vec_id,"
+        " table_id::INTEGER AS table_id, arg_max(2 * pos + CASE WHEN dot < 0 THEN 1 ELSE 0 END,"
+        " abs(dot))::BIGINT AS bucket FROM dots GROUP BY vec_id, table_id",
         "lsh_pstable_first": f"WITH {_params_sql(PSTABLE)}{_DOTS} SELECT vec_id,"
         " table_id::INTEGER AS table_id, trunc((dot + b) / w)::BIGINT AS bucket"
         " FROM dots WHERE pos = 0",
@@ -757,9 +851,10 @@ SELECT l_orderkey, label, place AS idx, value FROM long JOIN chosen USING (idx)
         "extract_title_year": f"SELECT page_id, array_to_string(string_split({_CLEAN}, ' '), '|')"
         " AS words FROM pages",
         "title_points": f"""
-WITH titles AS (SELECT page_id, 1990 + length(url) % 30 AS year, {_CLEAN} AS title FROM pages),
-title_words AS (SELECT page_id AS doc_id, unnest(string_split(title, ' ')) AS word FROM titles)"""
+WITH titles AS (SELECT o_orderkey AS doc_id, year(o_orderdate) AS year,
+  lower(concat_ws(' ', o_orderpriority, 'Order', o_orderstatus, o_custkey)) AS title FROM orders),
+title_words AS (SELECT doc_id, unnest(string_split(title, ' ')) AS word FROM titles)"""
         + _tf_sql("title_words", "1000")
-        + " SELECT page_id, CASE WHEN year > 2007 THEN 0.0 ELSE 1.0 END::DOUBLE AS label, idx, tf"
-        " FROM tf JOIN titles ON page_id = doc_id",
+        + " SELECT doc_id AS o_orderkey, CASE WHEN year > 1997 THEN 0.0 ELSE 1.0 END::DOUBLE AS label,"
+        " idx, tf FROM tf JOIN titles USING (doc_id)",
     }

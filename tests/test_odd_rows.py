@@ -1,5 +1,6 @@
 """Nulls, repeats, malformed vectors and every size of lookup give one answer."""
 
+import os
 import time
 
 import numpy as np
@@ -9,10 +10,14 @@ from pyspark.sql import functions as F
 from veclode.functions import vectors as V
 from veclode.functions.text import last_record
 from veclode.operators.chisq import chi_square, chi_square_select
-from veclode.operators.lsh import lsh_index, lsh_params
+from veclode.operators.lsh import FOLD, Family, lsh_index, lsh_params
+from veclode.operators.polynomial import polynomial
 from veclode.operators.tfidf import apply_idf, fit_idf, hashing_tf
 from veclode.operators.vocabulary import Vocabulary, keep_vocab
+from veclode.plans import jobs
+from veclode.session import ensure_checkpoint_dir, scratch_tables
 from veclode.sources.documents import read_documents
+from veclode.sources.lsh_files import read_lsh_params
 
 ROWS = [(1, ["a", "x"]), (1, ["b", "y", None]), (None, ["a"]), (4, None), (5, [])]
 
@@ -113,3 +118,59 @@ def test_hidden_mail_folders(spark, write, tmp_path):
     write("mail/in/_x", "hidden")
     with pytest.raises(ValueError, match="_x"):
         read_documents(spark, str(tmp_path / "mail"))
+
+
+def test_own_family_folded_chain_and_repeated_members(spark, write):
+    rows = [(i, [float(i), 1.0 - i, 2.0]) for i in range(4)]
+    df = spark.createDataFrame(rows, "id int, features array<double>")
+    sign = Family(
+        "count_positive",
+        lambda rng, size, dim: (rng.standard_normal((size, dim)), np.zeros(size)),
+        lambda dots, b, w: (dots > b).sum(axis=2),
+        offsets=True,
+    )
+    params = lsh_params(sign, 3, family_size=4, tables=2, chain=5, seed=1)
+    assert params.members.shape == (4, 3) and params.a.shape == (2, 5, 3)
+    expected = {i: [int((params.a[t] @ x > 0).sum()) for t in range(2)] for i, x in rows}
+    for tier in ({}, {"shipped": 0}):
+        got = {r["id"]: r["buckets"] for r in lsh_index(df, params, **tier).collect()}
+        assert got == expected
+
+    text = "(3,[0],[1.0]);-1;1\n(3,[1],[1.0]);0;1\n"
+    own = read_lsh_params(spark, write("own", text), sign, chain=2)
+    assert [r["buckets"] for r in lsh_index(df, own).orderBy("id").collect()] == [[2], [1], [1], [1]]
+    with pytest.raises(ValueError):
+        read_lsh_params(spark, write("bare", "(3,[0],[1.0])\n"), sign, chain=1)
+
+    stable = lsh_params("pstable", 3, family_size=3, tables=2, chain=4, seed=2, w=2)
+    whole = {r["id"]: r["buckets"] for r in lsh_index(df, stable).collect()}
+    folded = {r["id"]: r["buckets"] for r in lsh_index(df, stable, chain="folded").collect()}
+    for i, buckets in whole.items():
+        for text, got in zip(buckets, folded[i]):
+            h = 0
+            for n in text.split(":"):
+                h = (h * FOLD + int(n)) % 2**64
+            assert got == (h - 2**64 if h >= 2**63 else h)
+
+
+def test_narrow_and_wide_vectors_expand_alike(spark, monkeypatch):
+    rows = [([2.0, 0.0, 3.0],), ([0.0, 0.0, 0.0],), ([0.0, float("nan"), 1.0],), (None,)]
+    df = spark.createDataFrame(rows, "x array<double>")
+    df = df.withColumn("features", F.when(F.col("x").isNotNull(), V.dense_to_sparse(F.col("x"))))
+    narrow = result(polynomial(df, 3).select("features"))
+    monkeypatch.setattr("veclode.operators.polynomial.NARROW", 0)
+    assert narrow == result(polynomial(df, 3).select("features"))
+
+
+def test_jobs_leave_no_tables_behind(spark, write, tmp_path):
+    for i in range(4):
+        write(f"mail/{i}", f"alpha beta gamma{i}\n")
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    with scratch_tables(spark) as tables:
+        jobs.mail_vectors(spark, str(tmp_path / "mail"), str(tmp_path / "v"), 0.9)
+        jobs.libsvm_points(
+            spark, write("p.svm", "1 1:1 3:2\n-1 2:1\n"), str(tmp_path / "best"), 1, 4
+        )
+    assert tables and set(os.listdir(folder)) == before
+    assert spark.read.parquet(str(tmp_path / "v")).count() == 4

@@ -7,6 +7,7 @@ their own columns next to it.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -158,13 +159,22 @@ def keep_dims(dense: Column, dims: list[int]) -> Column:
 # --- the ML library's vector type -------------------------------------------------
 
 
-def to_ml_vector(vector: Column) -> Column:
-    """Sparse struct -> ML vector. No built-in does this; the JSON reader builds the type."""
+def to_ml_vector(vector: Column, narrow: int = 0) -> Column:
+    """Sparse struct -> ML vector.
+
+    A built-in makes dense ML vectors only; it serves for finite vectors up to ``narrow``
+    wide. The JSON reader builds sparse ones, writing every vector out as text.
+    """
     fields = F.struct(
         F.lit(0).cast("byte").alias("type"), vector["size"], vector["indices"], vector["values"]
     )
     schema = StructType([StructField("v", VectorUDT())])
-    return F.from_json(F.to_json(F.struct(fields.alias("v"))), schema)["v"]
+    wide = F.from_json(F.to_json(F.struct(fields.alias("v"))), schema)["v"]
+    if not narrow:
+        return wide
+    finite = F.forall(vector["values"], lambda x: F.abs(x) < float("inf"))
+    dense = array_to_vector(sparse_to_dense(vector))
+    return F.when((vector["size"] <= narrow) & finite, dense).otherwise(wide)
 
 
 def from_ml_vector(vector: Column) -> Column:

@@ -32,34 +32,83 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SHIPPED_COEFFICIENTS = 1 << 24
 # Entries multiplied at once inside a task.
 BLOCK = 1 << 21
+# Odd multiplier that folds a chain's numbers to 64 bits.
+FOLD = 6364136223846793005
 
 Bucketing = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
+Draw = Callable[[np.random.Generator, int, int], tuple[np.ndarray, np.ndarray]]
+
+
+@dataclass(frozen=True)
+class Family:
+    """A hash family of one's own, to be given wherever a family's name may stand.
+
+    ``draw`` takes a generator, the family's size and the dimension, and gives the
+    members (size x dim) and their offsets. ``bucketing`` takes dot products (rows x
+    tables x chain), ``b`` and ``w`` (tables x chain) and gives rows x tables whole
+    numbers. ``offsets``: lines of a hash-function file hold ``vector;b;w``.
+    """
+
+    name: str
+    draw: Draw
+    bucketing: Bucketing
+    offsets: bool = False
+
+
 @dataclass(frozen=True)
 class LshParams:
-    """``a``: tables x chain x dim coefficients; ``b``, ``w``: tables x chain."""
+    """``members``: projections x dim; ``drawn``, ``b``, ``w``: tables x chain.
+
+    ``drawn`` tells which member stands at each place of a chain, so one drawn several
+    times is kept and multiplied once. Without it ``members`` is tables x chain x dim.
+    """
 
-    family: str
-    a: np.ndarray
+    family: str | Family
+    members: np.ndarray
     b: np.ndarray
     w: np.ndarray
+    drawn: np.ndarray | None = None
+
+    def __post_init__(self):
+        if self.drawn is None:
+            tables, chain, dim = self.members.shape
+            places = np.arange(tables * chain).reshape(tables, chain)
+            object.__setattr__(self, "members", self.members.reshape(-1, dim))
+            object.__setattr__(self, "drawn", places)
+
+    @property
+    def a(self) -> np.ndarray:
+        """Tables x chain x dim coefficients."""
+        return self.members[self.drawn]
 
     @property
     def tables(self) -> int:
-        return self.a.shape[0]
+        return self.drawn.shape[0]
 
     @property
     def chain(self) -> int:
-        return self.a.shape[1]
+        return self.drawn.shape[1]
 
     @property
     def dim(self) -> int:
-        return self.a.shape[2]
+        return self.members.shape[1]
+
+    def used(self, chain: int) -> LshParams:
+        """The first ``chain`` places of every table, with the members that stand there."""
+        kept, drawn = np.unique(self.drawn[:, :chain], return_inverse=True)
+        return LshParams(
+            self.family,
+            self.members[kept],
+            self.b[:, :chain],
+            self.w[:, :chain],
+            drawn.reshape(self.tables, chain),
+        )
 
 
 def lsh_params(
-    family: str,
+    family: str | Family,
     dim: int,
     family_size: int,
     tables: int,
@@ -74,10 +123,14 @@ def lsh_params(
 
     Angle projections have length 1; ``dist="uniform_sign"`` draws each coordinate
     uniformly with a random sign instead of from a normal distribution. P-stable
-    offsets are whole numbers in ``[0, w)``.
+    offsets are whole numbers in ``[0, w)``. A :class:`Family` draws its own members.
     """
     rng = np.random.default_rng(seed)
-    if family == "angle":
+    if isinstance(family, Family):
+        members, offsets = family.draw(rng, family_size, dim)
+        if np.shape(members) != (family_size, dim) or np.shape(offsets) != (family_size,):
+            raise ValueError("draw must give size x dim members and an offset for each")
+    elif family == "angle":
         _check_angle_chain(chain)
         if dist == "gaussian":
             members = rng.standard_normal((family_size, dim))
@@ -93,7 +146,7 @@ def lsh_params(
     else:
         raise ValueError(f"unknown family {family!r}")
     drawn = rng.integers(0, family_size, (tables, chain))
-    return LshParams(family, members[drawn], offsets[drawn], np.full((tables, chain), float(w)))
+    return LshParams(family, members, offsets[drawn], np.full((tables, chain), float(w)), drawn)
 
 
 def _check_angle_chain(chain: int) -> None:
@@ -116,6 +169,18 @@ def _truncate(dots: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
     return np.trunc((dots + b) / w).astype(np.int64)
 
 
+def _folded(numbers: Bucketing) -> Bucketing:
+    """A chain's numbers as one: ``h * FOLD + number`` from 0, wrapping at 64 bits."""
+
+    def fold(dots: np.ndarray, b: np.ndarray, w: np.ndarray) -> np.ndarray:
+        folded = np.zeros(dots.shape[:2], dtype=np.int64)
+        for place in np.moveaxis(numbers(dots, b, w), 2, 0):
+            folded = folded * np.int64(FOLD) + place
+        return folded
+
+    return fold
+
+
 def _dense_dots(flat: np.ndarray, matrix: np.ndarray) -> np.ndarray:
     return flat.reshape(-1, matrix.shape[0]) @ matrix
 
@@ -149,15 +214,15 @@ def _bucket_column(params: LshParams, vector: Column, dense: bool, bucketing: Bu
 
     Marked nondeterministic so the optimizer neither copies it into filters nor runs it twice.
     """
-    tables, chain, dim = params.a.shape
-    matrix = np.ascontiguousarray(params.a.reshape(tables * chain, dim).T)
-    b, w = params.b, params.w
+    tables, chain, dim = params.tables, params.chain, params.dim
+    matrix = np.ascontiguousarray(params.members.T)
+    b, w, drawn = params.b, params.w, params.drawn
 
     kind = ArrayType(LongType()) if depth == 1 else ArrayType(ArrayType(LongType()))
 
     def from_dots(dots: np.ndarray) -> pa.Array:
         rows = len(dots)
-        buckets = bucketing(dots.reshape(rows, tables, chain), b, w)
+        buckets = bucketing(dots[:, drawn], b, w)
         flat = pa.array(np.ascontiguousarray(buckets, dtype=np.int64).ravel())
         if depth == 1:
             return _list_array(flat, tables, rows)
@@ -206,7 +271,7 @@ def _joined_dots(df: DataFrame, params: LshParams, features: str, dense: bool) -
         df.withColumn(features, fits).withColumn("_row", F.monotonically_increasing_id())
     )
     inlined = F.posexplode(vector) if dense else V.inline_entries(vector)
-    flat = params.a.reshape(-1, params.dim).T
+    flat = params.members.T
     coefficients = spark.createDataFrame(
         pa.table({"idx": np.arange(params.dim, dtype=np.int32), "a": list(flat)})
     )
@@ -233,15 +298,18 @@ def lsh_index(
 
     ``features`` is dense (``array<double>``) or sparse. Angle buckets are bigints. A
     p-stable bucket joins the whole chain's numbers by ``:``; with ``chain="first"`` it
-    is the first projection's number alone, a bigint. ``rounding`` is ``floor`` or
+    is the first projection's number alone, with ``chain="folded"`` the whole chain's
+    numbers folded to 64 bits, both bigints. ``rounding`` is ``floor`` or
     ``trunc`` (toward zero). ``bucketing`` replaces the family's own rule: from dot
     products (rows x tables x chain), ``b`` and ``w`` to rows x tables numbers. A null
     vector has null buckets; a vector of another size ends the job.
     """
-    if rounding not in ("floor", "trunc") or chain not in ("all", "first"):
-        raise ValueError("rounding is floor or trunc, chain is all or first")
+    if rounding not in ("floor", "trunc") or chain not in ("all", "first", "folded"):
+        raise ValueError("rounding is floor or trunc, chain is all, first or folded")
     dense = isinstance(df.schema[features].dataType, ArrayType)
     whole_chain = False
+    if bucketing is None and isinstance(params.family, Family):
+        bucketing = params.family.bucketing
     if bucketing is None:
         if params.family == "angle":
             _check_angle_chain(params.chain)
@@ -249,26 +317,23 @@ def lsh_index(
         else:
             bucketing = _floor if rounding == "floor" else _truncate
             whole_chain = chain == "all"
+            if chain == "folded":
+                bucketing = _folded(bucketing)
             if chain == "first":
-                params = LshParams(
-                    params.family, params.a[:, :1], params.b[:, :1], params.w[:, :1]
-                )
+                params = params.used(1)
                 each = bucketing
 
                 def bucketing(dots, b, w):
                     return each(dots, b, w)[:, :, 0]
 
     depth = 2 if whole_chain else 1
-    if params.a.size <= shipped:
+    if params.members.size <= shipped:
         hashed = df.withColumn(
             out, _bucket_column(params, F.col(features), dense, bucketing, depth)
         )
     else:
         identity = LshParams(
-            params.family,
-            np.eye(params.tables * params.chain).reshape(params.tables, params.chain, -1),
-            params.b,
-            params.w,
+            params.family, np.eye(len(params.members)), params.b, params.w, params.drawn
         )
         hashed = _joined_dots(df, params, features, dense)
         hashed = hashed.withColumn(

@@ -63,8 +63,12 @@ def hash_vectors(
         F.coalesce("key", -1 - F.monotonically_increasing_id()).alias("id"),
         F.col("vector").alias("features"),
     )
-    indexed = cut_lineage(lsh_index(vectors, params, **options))
+    indexed = lsh_index(vectors, params, **options)
+    if fmt == "text":
+        indexed = cut_lineage(indexed)
     sinks.write_lsh(indexed, out, fmt, partitions)
+    if fmt != "text":  # the table just written serves for the histogram
+        indexed = spark.read.schema(indexed.schema).parquet(out)
     sinks.write_histogram(lsh_histogram(indexed), f"{out}_histogram", fmt)
     return indexed
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove the tables that :func:`cut_lineage` wrote inside the block when it ends.
+
+    For jobs that have written their result by then; what reads such a table later fails.
+    """
+    tables: list[str] = []
+    token = _scopes.set((*_scopes.get(), tables))
+    try:
+        yield tables
+    finally:
+        _scopes.reset(token)
+        for table in tables:
+            path = spark._jvm.org.apache.hadoop.fs.Path(table)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, as a table in the shared checkpoint folder, and read it back.
 
@@ -32,23 +54,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4()}"
+    for tables in _scopes.get():
+        tables.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-# An input below this many bytes per core may lie in fewer splits than there are cores.
-SMALL_BYTES_PER_CORE = 32 << 20
+# An input below this many bytes may lie in fewer splits than there are cores.
+SMALL_BYTES = 256 << 20
 
 
 def spread_small(df: DataFrame) -> DataFrame:
     """Deal the rows of a small input out to all cores; leave a large one as it is read.
 
-    A small file is often one row group, hence one task. Past the size limit the splits
-    of the files keep the cores busy and shuffling the raw rows would only cost.
+    A small file is often one row group, hence one task. The limit does not grow with the
+    cluster: past it the splits of the files are used and no raw row is shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * SMALL_BYTES_PER_CORE else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if size < SMALL_BYTES else df
 
 
 def table_bytes(table: DataFrame) -> int:
