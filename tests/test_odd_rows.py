@@ -16,6 +16,7 @@ from veclode.operators.tfidf import apply_idf, fit_idf, hashing_tf
 from veclode.operators.vocabulary import Vocabulary, keep_vocab
 from veclode.plans import jobs
 from veclode.session import ensure_checkpoint_dir, scratch_tables
+from veclode.sources.bibliography import read_articles
 from veclode.sources.documents import read_documents
 from veclode.sources.lsh_files import read_lsh_params
 
@@ -174,3 +175,29 @@ def test_jobs_leave_no_tables_behind(spark, write, tmp_path):
         )
     assert tables and set(os.listdir(folder)) == before
     assert spark.read.parquet(str(tmp_path / "v")).count() == 4
+
+
+def test_articles_do_not_depend_on_splits(spark, write):
+    def article(i):
+        return f"<article key='{i}'>\n<author>A</author>\n<title>Title {i}</title>\n<year>{1900 + i}</year>\n</article>"
+
+    other = "<www><title>Home</title><year>1</year></www>\n"
+    text = "<bib>\n" + other * 40 + article(0) + "\n" + other * 3 + article(1) + article(2) + "\n"
+    text += "<article key='open'>\n<title>Never closed</title><year>1</year>\n" + other + article(3) + "\n"
+    text += "".join(article(i) + "\n" for i in range(4, 12)) + other * 20
+    text += "<article key='end'><title>Cut off</title><year>2</year>\n"
+    path = write("splits/b.xml", text)
+    write("splits/c.xml", article(50) + "\n" + "</article>\n" + article(51) + "\n")
+    write("splits/empty.xml", "")
+    folder = os.path.dirname(path)
+    expected = sorted((f"Title {i}", 1900 + i) for i in [*range(12), 50, 51])
+    bytes_key, cost_key = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+    saved = {k: spark.conf.get(k) for k in (bytes_key, cost_key)}
+    try:
+        for size in (150, 700, 1 << 27):
+            spark.conf.set(bytes_key, size)
+            spark.conf.set(cost_key, 1)
+            assert sorted(map(tuple, read_articles(spark, folder).collect())) == expected, size
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
