@@ -154,13 +154,13 @@ def test_own_family_folded_chain_and_repeated_members(spark, write):
             assert got == (h - 2**64 if h >= 2**63 else h)
 
 
-def test_narrow_and_wide_vectors_expand_alike(spark, monkeypatch):
-    rows = [([2.0, 0.0, 3.0],), ([0.0, 0.0, 0.0],), ([0.0, float("nan"), 1.0],), (None,)]
-    df = spark.createDataFrame(rows, "x array<double>")
+def test_polynomial_of_odd_vectors(spark):
+    rows = [(1, [2.0, 0.0, 3.0]), (2, [0.0, 0.0, 0.0]), (3, None)]
+    df = spark.createDataFrame(rows, "id int, x array<double>")
     df = df.withColumn("features", F.when(F.col("x").isNotNull(), V.dense_to_sparse(F.col("x"))))
-    narrow = result(polynomial(df, 3).select("features"))
-    monkeypatch.setattr("veclode.operators.polynomial.NARROW", 0)
-    assert narrow == result(polynomial(df, 3).select("features"))
+    got = {r["id"]: r["features"] for r in polynomial(df, 2).collect()}
+    assert got[3] is None and got[2]["values"] == [] and got[2]["size"] == 9
+    assert sorted(got[1]["values"]) == [2.0, 3.0, 4.0, 6.0, 9.0]
 
 
 def test_jobs_leave_no_tables_behind(spark, write, tmp_path):
