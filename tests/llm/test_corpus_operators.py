@@ -264,6 +264,31 @@ def test_repeated_passages(spark):
     assert all(len(shorter[i]) < len(texts[i]) - 80 for i in range(1, 25))
 
 
+def test_first_holder_with_many_lesser_ids(spark):
+    rng = random.Random(17)
+    shared = prose(rng, 60)
+    _, first, at, _, joined, _, _ = substring_dedup.chunk_block([shared.encode()])
+    parts = [joined[a:b].decode() for a, b in zip(first, at)]
+    # lesser documents hold one chunk each, with the bytes before it that make its start
+    small = [i for i in range(1, len(parts) - 1) if len(parts[i].split()) < 8][::2]
+    texts = [f"{prose(rng, 9)} {''.join(parts[:i])[-16:]}{parts[i]}{prose(rng, 9)}" for i in small]
+    holder = len(texts)
+    texts += [f"{prose(rng, 20)} {shared} {prose(rng, 20)}" for _ in range(3)]
+    docs = frame(spark, texts)
+    passages = substring_dedup.repeated_passages(docs)
+    found = passages.collect()
+    assert sorted(r["doc_id"] for r in found) == [holder, holder + 1, holder + 2]
+    inner = "".join(parts[2:-1])  # a chunk or so at either end may take in what surrounds it
+    for r in found:
+        text = texts[r["doc_id"]]
+        place = text.index(inner)
+        assert r["start"] <= place and r["stop"] >= place + len(inner)  # the passage is not broken up
+        assert r["kept"] == (r["doc_id"] == holder) == (not r["dropped"])
+    left = {r["doc_id"]: r["text"] for r in substring_dedup.drop_passages(docs, passages).collect()}
+    assert [left[i] for i in range(holder + 1)] == texts[: holder + 1]
+    assert all(inner not in left[i] and len(left[i]) <= len(texts[i]) - len(inner) for i in (holder + 1, holder + 2))
+
+
 # --- pipeline -------------------------------------------------------------------------
 
 

@@ -3,7 +3,8 @@
 A gear hash rolls over the bytes of every text; a chunk ends wherever the hash of the last
 sixteen bytes falls under a fixed bound, so an insertion moves only the chunk ends near it.
 Chunks are compared by digest. One that occurs in several documents is repeated; repeated
-chunks that follow each other in a text form a run, and runs of enough words are reported.
+chunks that follow each other in a text form a run, and runs of enough words are reported,
+whichever documents keep their chunks.
 """
 
 from __future__ import annotations
@@ -146,8 +147,11 @@ def repeated_passages(
     """Passages that several documents share, one row for every document and passage.
 
     ``start`` and ``stop`` are places in code points; ``first_key`` is the least key that
-    holds one of the passage's chunks. ``kept`` passages are the ones whose chunks no document
-    with a lesser key holds: of every chunk one document keeps its copies. Passages under ``min_words`` words are not reported; a shared passage loses up
+    holds one of the passage's chunks. Of every chunk the document with the least key keeps its
+    copies. ``dropped`` lists the stretches of the passage, of ``min_words`` words or more, whose
+    chunks are all kept by others; shorter ones, such as a word that some lesser document happens
+    to hold, stay in the text. ``kept`` passages have no such stretch. Passages under
+    ``min_words`` words are not reported; a shared passage loses up
     to a chunk at either end, so ``min_words`` should be well below the length looked for.
     Null and empty texts have no chunks. Rows with equal keys are the same document, and a
     passage repeated only inside one document is not reported; rows without a key cannot be
@@ -164,39 +168,56 @@ def repeated_passages(
     repeated = parts.join(shared, F.col("digest") == F.col("digest_"))
     repeated = repeated.withColumn("kept", F.col("first_key") == F.col("key"))
     in_row = Window.partitionBy("row").orderBy("start")
-    goes_on = (F.lag("stop").over(in_row) == F.col("start")) & (F.lag("kept").over(in_row) == F.col("kept"))
-    new = (~F.coalesce(goes_on, F.lit(False))).cast("int")
-    runs = repeated.withColumn("new_", new).withColumn("run", F.sum("new_").over(in_row))
+    goes_on = F.coalesce(F.lag("stop").over(in_row) == F.col("start"), F.lit(False))
+    alike = goes_on & (F.lag("kept").over(in_row) == F.col("kept"))
+    runs = (
+        repeated.withColumn("new_run", (~goes_on).cast("int"))
+        .withColumn("new_piece", (~alike).cast("int"))
+        .withColumn("run", F.sum("new_run").over(in_row))
+        .withColumn("piece", F.sum("new_piece").over(in_row))
+    )
+    pieces = runs.groupBy("row", "run", "piece").agg(
+        F.first("key").alias("key"),
+        F.min("start").cast("bigint").alias("start"),
+        F.max("stop").cast("bigint").alias("stop"),
+        F.sum("n_words").alias("n_words"),
+        F.count(F.lit(1)).alias("n_chunks"),
+        F.min("first_key").alias("first_key"),
+        F.first("kept").alias("kept"),
+    )
+    drop = ~F.col("kept") & (F.col("n_words") >= min_words)
     return (
-        runs.groupBy("row", "run")
+        pieces.groupBy("row", "run")
         .agg(
             F.first("key").alias("key"),
             F.min("start").alias("start"),
             F.max("stop").alias("stop"),
             F.sum("n_words").alias("n_words"),
-            F.count(F.lit(1)).alias("n_chunks"),
+            F.sum("n_chunks").alias("n_chunks"),
             F.min("first_key").alias("first_key"),
-            F.first("kept").alias("kept"),
+            F.array_sort(F.collect_list(F.when(drop, F.struct("start", "stop")))).alias("dropped"),
         )
         .where(F.col("n_words") >= min_words)
         .select(
             F.col("key").alias(key),
-            F.col("start").cast("bigint").alias("start"),
-            F.col("stop").cast("bigint").alias("stop"),
+            "start",
+            "stop",
             "n_words",
             "n_chunks",
             "first_key",
-            "kept",
+            (F.size("dropped") == 0).alias("kept"),
+            "dropped",
         )
     )
 
 
 def drop_passages(docs: DataFrame, passages: DataFrame, key: str = "doc_id", text: str = "text"):
-    """``docs`` without the passages that are not ``kept``; all other rows as they are."""
+    """``docs`` without the stretches in ``dropped``; all other rows as they are."""
     spans = (
         passages.where("NOT kept")
-        .groupBy(F.col(key).alias("key_"))
-        .agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans_"))
+        .select(column(passages, key).alias("key_"), F.explode("dropped").alias("span_"))
+        .groupBy("key_")
+        .agg(F.array_sort(F.collect_set("span_")).alias("spans_"))
     )
     joined = docs.join(spans, column(docs, key) == F.col("key_"), "left")
     whole = column(docs, text)
