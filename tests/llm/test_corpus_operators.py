@@ -284,6 +284,7 @@ def test_first_holder_with_many_lesser_ids(spark):
         place = text.index(inner)
         assert r["start"] <= place and r["stop"] >= place + len(inner)  # the passage is not broken up
         assert r["kept"] == (r["doc_id"] == holder) == (not r["dropped"])
+        assert r["first_key"] == holder  # not a document that holds one chunk of it
     left = {r["doc_id"]: r["text"] for r in substring_dedup.drop_passages(docs, passages).collect()}
     assert [left[i] for i in range(holder + 1)] == texts[: holder + 1]
     assert all(inner not in left[i] and len(left[i]) <= len(texts[i]) - len(inner) for i in (holder + 1, holder + 2))

@@ -146,9 +146,9 @@ def repeated_passages(
 ) -> DataFrame:
     """Passages that several documents share, one row for every document and passage.
 
-    ``start`` and ``stop`` are places in code points; ``first_key`` is the least key that
-    holds one of the passage's chunks. Of every chunk the document with the least key keeps its
-    copies. ``dropped`` lists the stretches of the passage, of ``min_words`` words or more, whose
+    ``start`` and ``stop`` are places in code points. Of every chunk the document with the
+    least key keeps its copies; ``first_key`` is the document that keeps most of the passage's
+    words (then most of its text, then the least). ``dropped`` lists the stretches of the passage, of ``min_words`` words or more, whose
     chunks are all kept by others; shorter ones, such as a word that some lesser document happens
     to hold, stay in the text. ``kept`` passages have no such stretch. Passages under
     ``min_words`` words are not reported; a shared passage loses up
@@ -176,13 +176,21 @@ def repeated_passages(
         .withColumn("run", F.sum("new_run").over(in_row))
         .withColumn("piece", F.sum("new_piece").over(in_row))
     )
-    pieces = runs.groupBy("row", "run", "piece").agg(
+    in_run = Window.partitionBy("row", "run")
+    runs = runs.withColumn("run_words", F.sum("n_words").over(in_run)).where(F.col("run_words") >= min_words)
+    agreed = Window.partitionBy("row", "run", "first_key")
+    vote = F.struct(
+        (-F.sum("n_words").over(agreed)).alias("words"),
+        (-F.sum(F.col("stop") - F.col("start")).over(agreed)).alias("points"),
+        F.col("first_key"),
+    )
+    pieces = runs.withColumn("vote", vote).groupBy("row", "run", "piece").agg(
         F.first("key").alias("key"),
         F.min("start").cast("bigint").alias("start"),
         F.max("stop").cast("bigint").alias("stop"),
         F.sum("n_words").alias("n_words"),
         F.count(F.lit(1)).alias("n_chunks"),
-        F.min("first_key").alias("first_key"),
+        F.min("vote").alias("vote"),
         F.first("kept").alias("kept"),
     )
     drop = ~F.col("kept") & (F.col("n_words") >= min_words)
@@ -194,10 +202,9 @@ def repeated_passages(
             F.max("stop").alias("stop"),
             F.sum("n_words").alias("n_words"),
             F.sum("n_chunks").alias("n_chunks"),
-            F.min("first_key").alias("first_key"),
+            F.min("vote")["first_key"].alias("first_key"),
             F.array_sort(F.collect_list(F.when(drop, F.struct("start", "stop")))).alias("dropped"),
         )
-        .where(F.col("n_words") >= min_words)
         .select(
             F.col("key").alias(key),
             "start",
