@@ -76,6 +76,15 @@ def test_decontamination_of_empty_tables(spark):
     assert decontamination.decontaminate(docs.limit(0), items).collect() == []
 
 
+def test_no_window_begins_before_the_segment(spark):
+    items = [(1, "no no thanks"), (2, "all of it")]
+    texts = ["no thanks", "x no no thanks y", "all of it"]
+    docs = frame(spark, texts).coalesce(1)  # one segment
+    got = by_id(decontamination.decontaminate(docs, spark.createDataFrame(items, "item_id bigint, text string")))
+    for i, text in enumerate(texts):
+        assert (got[i]["n_words"], got[i]["n_hit"], got[i]["items"]) == plain_hits(text, items), text
+
+
 def test_segments_split_long_lists(spark, monkeypatch):
     monkeypatch.setattr(decontamination, "TRIED", 3)
     segment = decontamination._Segment(

@@ -150,11 +150,12 @@ class _Segment:
             n = self.counts[place]
             window = np.repeat(part, n)
             start = self.positions[row_ranges(self.first[place], n)] - offsets[window, 0]
+            window, start = window[start >= 0], start[start >= 0]  # none begins before the segment
             for r in range(1, terms.shape[1]):
                 if not len(window):
                     break
                 ok = (lengths[window] <= r) | self.listed(
-                    self.place[terms[window, r]], np.maximum(start + offsets[window, r], 0)
+                    self.place[terms[window, r]], start + offsets[window, r]
                 )
                 window, start = window[ok], start[ok]
             if len(window):
