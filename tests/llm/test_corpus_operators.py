@@ -290,6 +290,19 @@ def test_first_holder_with_many_lesser_ids(spark):
     assert all(inner not in left[i] and len(left[i]) <= len(texts[i]) - len(inner) for i in (holder + 1, holder + 2))
 
 
+def test_periodic_passages(spark):
+    rng = random.Random(18)
+    parts = ["word", "é", "no and", "hello there"] + [prose(rng, 1) for _ in range(12)]
+    shared = [" ".join([part] * (60 // len(part.split()))) for part in parts]
+    texts = [f"{prose(rng, 20 + 7 * i)} {run} {prose(rng, 20)}" for i in range(2) for run in shared]
+    found = {r["doc_id"]: r for r in substring_dedup.repeated_passages(frame(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        run = shared[i % len(shared)]
+        if len(run) >= 300:
+            assert i in found, run
+            assert text.index(run) - 1 <= found[i]["start"] and found[i]["stop"] <= text.index(run) + len(run) + 1
+
+
 # --- pipeline -------------------------------------------------------------------------
 
 

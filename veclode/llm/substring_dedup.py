@@ -2,6 +2,7 @@
 
 A gear hash rolls over the bytes of every text; a chunk ends wherever the hash of the last
 sixteen bytes falls under a fixed bound, so an insertion moves only the chunk ends near it.
+Where no hash does for long, as in periodic text, it ends at the least hash of a short stretch.
 Chunks are compared by digest. One that occurs in several documents is repeated; repeated
 chunks that follow each other in a text form a run, and runs of enough words are reported,
 whichever documents keep their chunks.
@@ -23,7 +24,8 @@ from veclode.llm.common import blocks, column, raw_bytes, stored
 
 ROLLED = 16  # bytes the rolling hash looks back on
 MEAN = 24  # bytes between chunk ends, on average
-LONGEST = 2048  # bytes; a text without chunk ends is cut there
+LONGEST = 5  # times the mean; a longer chunk is cut again
+NEAREST, FARTHEST = 1, 3  # times the mean from its start: where the least hash is looked for
 
 
 def gear_table(seed: int = 5) -> np.ndarray:
@@ -59,7 +61,8 @@ def chunk_block(texts: list[bytes], mean: int = MEAN):
     starts = ROLLED + np.cumsum(lengths + ROLLED) - lengths - ROLLED
     ends = starts + lengths
     inside = (data & 0xC0) == 0x80  # not the first byte of a code point
-    cut = ((gear_hash(data) >> np.uint32(16)) < 65536 // mean)[:-1] & ~inside[1:]
+    rolled = gear_hash(data)
+    cut = ((rolled >> np.uint32(16)) < 65536 // mean)[:-1] & ~inside[1:]
     at = np.flatnonzero(cut) + 1
     doc = np.searchsorted(ends, at, side="left")
     ok = (doc < len(texts)) & (at > starts[np.minimum(doc, len(texts) - 1)])
@@ -69,15 +72,17 @@ def chunk_block(texts: list[bytes], mean: int = MEAN):
     first = np.concatenate([[0], at[:-1]])
     new = np.concatenate([[True], doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, bool)
     first[new] = starts[doc[new]]
-    long = np.flatnonzero(at - first > LONGEST)
+    long = np.flatnonzero(at - first > LONGEST * mean)
     if len(long):
         more_doc, more_first, more_at = [], [], []
         for i in long.tolist():
             a, stop, d = int(first[i]), int(at[i]), int(doc[i])
-            while stop - a > LONGEST:
-                b = a + LONGEST
-                while inside[b]:
-                    b -= 1
+            while stop - a > FARTHEST * mean:
+                near = np.arange(a + NEAREST * mean, a + FARTHEST * mean)
+                near = near[~inside[near]]
+                if not len(near):  # no text: bytes without a first one of a code point
+                    break
+                b = int(near[rolled[near - 1].argmin()])  # the first of equal ones
                 more_doc.append(d)
                 more_first.append(a)
                 more_at.append(b)
