@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -254,6 +255,20 @@ def toxic_tables(spark):
     return frame(spark, texts), spark.createDataFrame(labels, "doc_id bigint, toxic int")
 
 
+def test_a_long_text_does_not_end_the_sample(spark):
+    texts = ["word " * 100 if i % 20 == 0 else f"word w{i}" for i in range(100)]
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id bigint, toxic int")
+    short = {i for i in range(100) if i % 20 and zlib.crc32(str(i).encode()) % 4 != 2}
+    names = ("doc_id", "text", "lang", "toxic")
+    assert {r[0] for r in toxicity.sample(docs, labels, *names, 1000, 99)} <= short
+    texts[::20] = ["word " * 1000] * 5
+    rows = toxicity.sample(frame(spark, texts), labels, *names, 1000, 999)
+    assert {r[0] for r in rows} == short
+    few = [toxicity.sample(d, labels, *names, 10, 10_000) for d in (docs, docs.repartition(7, "text"))]
+    assert len(few[0]) == 10 and [r[0] for r in few[0]] == [r[0] for r in few[1]]
+
+
 def test_toxicity_on_rows_held_out(spark):
     docs, labels = toxic_tables(spark)
     net = toxicity.fit_network(docs, labels)
