@@ -4,7 +4,7 @@ A document's set holds its distinct shingles, in an order that puts those with r
 first. Documents with the same words are one class, and classes are joined:
 
 1. The first quarter of every set goes into index lists by shingle: two sets that are similar
-   enough share one of these. A list, sorted by set size, is skipped over where sizes stop
+   enough share one of these. A list, sorted by set size, is read once and cut where sizes stop
    being compatible, and each run between two such places gives a star of candidate edges.
    Components of these edges hold every pair that can link.
 2. The sets of a component are brought together in blocks of bounded size. In a block, one
@@ -156,9 +156,9 @@ def _candidates(docs: DataFrame, text: str, ranks: np.ndarray) -> DataFrame:
     """Candidate edges (a, b) whose components hold every pair that can link.
 
     A list goes from small to large sets. A set can link with the smaller ones in it, if they
-    hold the shingle among their index shingles and are not too small. Those are skipped to
-    by their place: they end where a size step is too great, and what lies between two such
-    places is one star around its first set.
+    hold the shingle among their index shingles and are not too small. No posting is skipped:
+    runs end where a size step is too great, and what lies between two such places is one star
+    around its first set.
     """
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
