@@ -1,5 +1,6 @@
 """Operators over the whole corpus, against brute force."""
 
+import multiprocessing.pool
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -38,6 +39,16 @@ def test_tokenizer_equals_the_library():
         assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
+def test_words_are_cut_as_the_pattern_cuts_them():
+    rng = random.Random(7)
+    alphabet = ["'", "s", "t", "re", "ll", "ve", "m", "d", "a", " ", "1", "22", "!", "\n", "é", "--", "'s", "'re"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(12))).encode() for _ in range(4000)]
+    words, begins = packing._cut(texts)
+    words = words.to_pylist()
+    for i, text in enumerate(texts):
+        assert words[begins[i] : begins[i + 1]] == packing._UNIT.findall(text), text
+
+
 def test_tokenizer_forgets(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 3)
     texts = [b"one two three", b"four five, six", b"one seven"]
@@ -97,6 +108,28 @@ def test_patterns_hold_every_piece_once():
         assert sum(patterns.values()) <= used.sum() + len(sizes)
 
 
+def test_many_lengths_end_in_a_process_that_runs_spark(spark):
+    """Over 200 steps, so that the basis is inverted anew; a blocked solver would not return."""
+    rng = random.Random(5)
+    histogram = {s: rng.randrange(1, 60) for s in range(2, 252)}
+    spark.range(1000).selectExpr("sum(id)").collect()
+    with multiprocessing.pool.ThreadPool(1) as pool:
+        patterns = pool.apply_async(packing.whole_patterns, (histogram, 256)).get(timeout=120)
+    held = Counter()
+    for pattern, times in patterns.items():
+        assert sum(pattern) <= 256
+        for size in pattern:
+            held[size] += times
+    assert held == Counter(histogram)
+    assert sum(patterns.values()) <= 1.03 * sum(s * n for s, n in histogram.items()) / 256 + 1
+
+
+def test_inverse_by_row_operations():
+    rng = np.random.default_rng(6)
+    matrix = rng.integers(-3, 4, (40, 40)).astype(float)
+    assert np.allclose(packing._inverted(matrix) @ matrix, np.eye(40), atol=1e-6)
+
+
 def test_knapsack_is_best():
     rng = random.Random(4)
     for _ in range(50):

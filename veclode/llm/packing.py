@@ -26,8 +26,10 @@ from pyspark.sql import types as T
 
 from veclode.llm.common import blocks, column, raw_bytes, stored, with_rank
 
-# Words, and parts of texts, whose ids a task remembers; then it forgets them all and goes on.
+# Words whose ids a task remembers, in both generations together.
 REMEMBERED = 500_000
+# Text cut into words at once inside a task; a longer text is cut alone.
+TOKENIZED_BYTES = 4 << 20
 
 
 # The vocabulary's own word pattern, for text of ASCII and Latin letters up to U+024F folded
@@ -40,18 +42,57 @@ _OTHER = ("\u00d7".encode(), "\u00f7".encode(), "\u0130".encode())  # no letters
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
+# What a byte is to the pattern: white space, letter, digit or symbol.
+_SPACE, _LETTER, _DIGIT, _SYMBOL = range(4)
+_KIND = np.full(256, _SYMBOL, np.uint8)
+_KIND[[*range(0x09, 0x0E), 0x20]] = _SPACE
+_KIND[[*range(0x61, 0x7B), *range(0x80, 0xCA)]] = _LETTER
+_KIND[range(0x30, 0x3A)] = _DIGIT
+
+
 def _plain(text: bytes) -> bool:
     return not text.translate(None, _PLAIN) and not any(x in text for x in _OTHER)
 
 
+def _cut(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of folded plain texts, as the pattern finds them, and where each text's begin."""
+    data = np.frombuffer(b" ".join([b"", *texts, b"   "]), np.uint8)
+    kind = _KIND[data]
+    starts = np.empty(len(kind), bool)
+    starts[0] = False
+    np.not_equal(kind[1:], kind[:-1], out=starts[1:])
+    starts |= kind == _DIGIT
+    # 's and the like are words where no symbol stands before them; letters may follow
+    marks = np.flatnonzero(data == ord("'"))
+    marks = marks[kind[marks - 1] != _SYMBOL]
+    first, second = data[marks + 1], data[marks + 2]
+    short = np.isin(first, np.frombuffer(b"stmd", np.uint8))
+    pairs = first.astype(np.int64) * 256 + second
+    long = np.isin(pairs, [x[0] * 256 + x[1] for x in (b"re", b"ve", b"ll")])
+    starts[marks[short | long] + 1] = False
+    for ends in (marks[short] + 2, marks[long] + 3):
+        starts[ends] = kind[ends] != _SPACE
+    filled = kind != _SPACE
+    starts &= filled
+    at = np.flatnonzero(starts)
+    kept = np.cumsum(filled)
+    offsets = np.append(kept[at] - 1, kept[-1]).astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data[filled])]
+    )
+    begins = np.cumsum([1, *(len(t) + 1 for t in texts)])
+    return words, np.searchsorted(at, begins)
+
+
 class WordTokenizer:
     """Token ids of whole texts, as little-endian 32-bit numbers.
 
     For a vocabulary of lower-case words whose tokens never hold white space and end with
-    ``</w>``: a text's ids are those of its blank-separated parts, and a part's are those of
-    its words. Each distinct word is encoded once; words are encoded together and told apart
-    by their word-final tokens. Parts with other characters are encoded as they are, and a
-    text that spells out a special token is encoded whole.
+    ``</w>``: a text's ids are those of its words. Each distinct word is encoded once; words are
+    encoded together and told apart by their word-final tokens. Blank-separated parts with
+    other characters are encoded as they are, and a text that spells out a special token is
+    encoded whole. Words are remembered in two generations: when the younger is full it
+    becomes the older, and of the older one only the words that are met again are taken over.
     """
 
     def __init__(self, path: str):
@@ -73,8 +114,8 @@ class WordTokenizer:
                 pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
             ]
         )
-        self.parts: dict[bytes, bytes] = {}
-        self.units: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def _encode(self, texts: list[bytes], tokenizer=None) -> list[np.ndarray]:
         encoded = (tokenizer or self.tokenizer).encode_batch_fast(
@@ -82,7 +123,11 @@ class WordTokenizer:
         )
         return [np.array(e.ids, "<u4") for e in encoded]
 
-    def _learn_units(self, units: list[bytes]) -> None:
+    def _learn(self, units: list[bytes]) -> None:
+        if not _plain(b" ".join(units)):
+            other = [u for u in units if not _plain(u)]
+            self.young.update(zip(other, (x.tobytes() for x in self._encode(other))))
+            units = [u for u in units if u not in self.young]
         groups = [units[i : i + 64] for i in range(0, len(units), 64)]
         joined = [b" ".join(g).decode().lower().encode() for g in groups]
         for group, ids in zip(groups, self._encode(joined, self.words_only)):
@@ -91,38 +136,47 @@ class WordTokenizer:
                 raise ValueError("not a vocabulary of whole words")
             raw, start = ids.tobytes(), 0
             for unit, stop in zip(group, (4 * stops).tolist()):
-                self.units[unit] = raw[start:stop]
+                self.young[unit] = raw[start:stop]
                 start = stop
 
-    def _learn(self, parts: list[bytes]) -> None:
-        if not _plain(b" ".join(parts)):
-            other = [p for p in parts if not _plain(p)]
-            self.parts.update(zip(other, (x.tobytes() for x in self._encode(other))))
-            parts = [p for p in parts if p not in self.parts]
-        found = [_UNIT.findall(p.translate(_LOWER)) for p in parts]
-        used = set().union(*found)
-        new = used.difference(self.units)
-        if len(self.units) + len(new) > REMEMBERED:
-            self.units.clear()
-            new = used
-        self._learn_units(list(new))
-        ids = self.units.__getitem__
-        self.parts.update(zip(parts, (b"".join(map(ids, f)) for f in found)))
+    def _ids(self, units: list[bytes]) -> list[bytes]:
+        """The ids of distinct words, and of parts that are left to the tokenizer."""
+        new = [u for u in units if u not in self.young]
+        if new and 2 * (len(self.young) + len(new)) > REMEMBERED:
+            self.young, self.old = {}, self.young
+            new = units
+        again = [u for u in new if u in self.old]
+        self.young.update(zip(again, map(self.old.__getitem__, again)))
+        self._learn([u for u in new if u not in self.young] if again else new)
+        return [self.young[u] for u in units]
+
+    def _plain_texts(self, texts: list[bytes]) -> list[bytes]:
+        words, begins = _cut([t.translate(_LOWER) for t in texts])
+        coded = words.dictionary_encode()
+        known = pa.array(self._ids(coded.dictionary.to_pylist()), pa.large_binary())
+        ids = known.take(coded.indices)
+        offsets = np.frombuffer(ids.buffers()[1], np.int64)[begins].tolist()
+        raw = ids.buffers()[2].to_pybytes() if len(ids) else b""
+        return [raw[a:b] for a, b in zip(offsets, offsets[1:])]
+
+    def _spells_special(self, text: bytes) -> bool:
+        # a single byte is found much faster than a token
+        return any(s[:1] in text and s in text for s in self.special)
+
+    def _other_text(self, text: bytes) -> bytes:
+        if self._spells_special(text):
+            return self._encode([text])[0].tobytes()
+        units = []
+        for part in text.split():
+            units.extend(_UNIT.findall(part.translate(_LOWER)) if _plain(part) else [part])
+        distinct = list(dict.fromkeys(units))
+        ids = dict(zip(distinct, self._ids(distinct)))
+        return b"".join(map(ids.__getitem__, units))
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        whole = [any(s in t for s in self.special) for t in texts]
-        parts = [[] if w else t.split() for t, w in zip(texts, whole)]
-        used = set().union(*parts)
-        new = used.difference(self.parts)
-        if len(self.parts) + len(new) > REMEMBERED:
-            self.parts.clear()
-            new = used
-        self._learn(list(new))
-        ids = self.parts.__getitem__
-        return [
-            self._encode([t])[0].tobytes() if w else b"".join(map(ids, p))
-            for t, w, p in zip(texts, whole, parts)
-        ]
+        plain = [_plain(t) and not self._spells_special(t) for t in texts]
+        found = iter(self._plain_texts([t for t, p in zip(texts, plain) if p]))
+        return [next(found) if p else self._other_text(t) for t, p in zip(texts, plain)]
 
 
 @lru_cache(maxsize=1)
@@ -150,7 +204,7 @@ def token_pieces(
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             texts = [t or b"" for t in raw_bytes(batch.column(1))]
-            for a, b in blocks(texts):
+            for a, b in blocks(texts, TOKENIZED_BYTES):
                 rows, docs_ = [], []
                 for i, ids in enumerate(tokenizer(texts[a:b]), a):
                     ids += last
@@ -189,6 +243,28 @@ def best_pattern(sizes: np.ndarray, prices: np.ndarray, room: int) -> tuple[floa
     return float(best[room]), pattern
 
 
+def _inverted(matrix: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan with row pivots. Row operations alone: the threaded solvers behind numpy's
+    own inverse have been seen to block in a process that runs Spark beside them."""
+    n = len(matrix)
+    work = np.hstack([matrix.astype(float), np.eye(n)])
+    for i in range(n):
+        pivot = i + int(np.abs(work[i:, i]).argmax())
+        work[[i, pivot]] = work[[pivot, i]]
+        work[i] /= work[i, i]
+        factors = work[:, i].copy()
+        factors[i] = 0
+        touched = np.flatnonzero(factors)
+        work[touched] -= factors[touched, None] * work[i]
+    return work[:, n:]
+
+
+def _times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """``matrix @ vector`` over the vector's non-zeros."""
+    held = np.flatnonzero(vector)
+    return (matrix[:, held] * vector[held]).sum(axis=1)
+
+
 def fractional_patterns(sizes: np.ndarray, wanted: np.ndarray, room: int, gap: float = 5e-4):
     """Patterns (rows) and how often each is used, within ``gap`` of the least sequences.
 
@@ -199,13 +275,13 @@ def fractional_patterns(sizes: np.ndarray, wanted: np.ndarray, room: int, gap: f
     m = len(sizes)
     patterns = np.diag(room // sizes).astype(float)  # columns of the basis, here as rows
     inverse = np.diag(1 / np.diag(patterns))
-    used = inverse @ wanted
+    used = _times(inverse, wanted)
     for step in range(40 * m + 100):
         prices = inverse.sum(axis=0)
         worth, pattern = best_pattern(sizes, prices, room)
         if worth <= 1 + gap:
             break
-        entering = inverse @ pattern
+        entering = _times(inverse, pattern)
         rising = entering > 1e-9
         if not rising.any():
             break
@@ -215,11 +291,12 @@ def fractional_patterns(sizes: np.ndarray, wanted: np.ndarray, room: int, gap: f
         used[out] = ratios[out] if ratios[out] > 0 else 0.0
         patterns[out] = pattern
         pivot = inverse[out] / entering[out]
-        inverse -= np.outer(entering, pivot)
+        touched = np.flatnonzero(entering)
+        inverse[touched] -= entering[touched, None] * pivot
         inverse[out] = pivot
         if step % 200 == 199:  # rounding errors add up
-            inverse = np.linalg.inv(patterns.T)
-            used = np.maximum(inverse @ wanted, 0)
+            inverse = _inverted(patterns.T)
+            used = np.maximum(_times(inverse, wanted), 0)
     return patterns.astype(np.int64), used
 
 
