@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import threading
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
@@ -26,6 +28,44 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 _scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+# Kept tables: folder -> (application, weak reference to what every plan that reads it holds).
+_tables: dict[str, tuple[str, JavaObject]] = {}
+_tables_lock = threading.Lock()
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(path, True)
+    fs.cancelDeleteOnExit(path)
+
+
+def release_unused(spark: SparkSession) -> int:
+    """Remove the kept tables that no living DataFrame reads any more; how many they were.
+
+    Every plan over a kept table holds the same file index, so once the JVM has collected
+    that, no DataFrame, cached result or running query can read the table again.
+    """
+    application = spark.sparkContext.applicationId
+    with _tables_lock:
+        for folder, (owner, _) in list(_tables.items()):
+            if owner != application:  # a session that has ended
+                del _tables[folder]
+        unused = [f for f, (_, index) in _tables.items() if index.get() is None]
+        for folder in unused:
+            del _tables[folder]
+    for folder in unused:
+        _delete(spark, folder)
+    return len(unused)
+
+
+def release(table: DataFrame) -> None:
+    """Remove a table of :func:`cut_lineage` now; whatever still reads it fails."""
+    folder = getattr(table, "_kept_in", None)
+    with _tables_lock:
+        kept = _tables.pop(folder, None)
+    if kept:
+        _delete(table.sparkSession, folder)
 
 
 @contextmanager
@@ -40,9 +80,10 @@ def scratch_tables(spark: SparkSession) -> Iterator[list[str]]:
         yield tables
     finally:
         _scopes.reset(token)
-        for table in tables:
-            path = spark._jvm.org.apache.hadoop.fs.Path(table)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        for folder in tables:
+            with _tables_lock:
+                _tables.pop(folder, None)
+            _delete(spark, folder)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -51,13 +92,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Used where several jobs read the same intermediate result: a lost executor then
     costs a re-read, not a re-run of everything before it. Being Parquet, the table is
     counted from its footers and read by column. The order of rows is not kept.
+
+    A table lives as long as a DataFrame that reads it: each call removes those that have
+    gone out of use, and the rest go when the application ends.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4()}"
+    release_unused(spark)
+    folder = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4()}"
     for tables in _scopes.get():
-        tables.append(path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+        tables.append(folder)
+    df.write.parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    table = spark.read.schema(df.schema).parquet(folder)
+    index = table._jdf.queryExecution().analyzed().relation().location()
+    with _tables_lock:
+        owner = spark.sparkContext.applicationId
+        _tables[folder] = owner, spark._jvm.java.lang.ref.WeakReference(index)
+    table._kept_in = folder
+    return table
 
 
 # An input below this many bytes may lie in fewer splits than there are cores.
