@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from veclode.llm import language_id, quality, secret_scan, toxicity
 from veclode.llm.common import held_out
+from veclode.llm.centroids import cluster_vectors, with_inertia
 from veclode.llm.decontamination import decontaminate, is_contaminated
+from veclode.llm.exact_dedup import exact_duplicates
 from veclode.llm.jaccard_join import jaccard_components
 from veclode.llm.packing import pack
 from veclode.llm.sharding import shard
@@ -133,6 +135,18 @@ def op10_sharding(spark, sf_dir):
     )
 
 
+def op11_exact_dedup(spark, sf_dir):
+    """Half of the documents, by the hash of their ids, are history; the rest are looked up."""
+    docs = _table(spark, sf_dir, "documents")
+    found = exact_duplicates(docs, F.crc32(F.col("doc_id").cast("string")) % 2 == 0)
+    digest = F.lower(F.hex("digest")).alias("text_sha256")
+    return found.select("doc_id", "keep_id", "group_size", "kept", digest)
+
+
+def op13_centroid_clustering(spark, sf_dir):
+    return with_inertia(*cluster_vectors(_table(spark, sf_dir, "embeddings")))
+
+
 def queries():
     return {
         f.__name__: f
@@ -147,6 +161,8 @@ def queries():
             op8_language_id,
             op9_jaccard_join,
             op10_sharding,
+            op11_exact_dedup,
+            op13_centroid_clustering,
         )
     }
 
@@ -222,9 +238,60 @@ FROM docs JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
 LEFT JOIN sizes USING (doc_id)"""
 
 
+_EXACT_DEDUP = r"""
+WITH texts AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents),
+groups AS (
+  SELECT text_sha256, first(doc_id ORDER BY n DESC, doc_id) AS keep_id, count(*) AS group_size
+  FROM texts GROUP BY text_sha256)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
+FROM texts JOIN groups USING (text_sha256)"""
+
+
+def _clusters(rounds: int = 5, k: int = 40) -> str:
+    """Every round as a table of its own; dot products of whole numbers this small are exact."""
+    floor_mean = "(s - ((s % n) + n) % n) // n"
+    parts = [
+        f"""WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, x, list_inner_product(x::DOUBLE[], x::DOUBLE[]) AS xx FROM (
+    SELECT vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x FROM embeddings
+    WHERE len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64 AND len(embedding) = 64)),
+c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY h, x) - 1)::INTEGER AS c, x FROM (
+    SELECT sha256('2:' || coalesce(vec_id::VARCHAR, '')) AS h, x FROM v ORDER BY h, x LIMIT {k}))"""
+    ]
+    for i in range(rounds + 1):
+        parts.append(
+            f"""a{i} AS MATERIALIZED (
+  SELECT r, m.c AS c, m.d::BIGINT AS d FROM (
+    SELECT r, min(struct_pack(d := xx - 2 * list_inner_product(v.x::DOUBLE[], t.x::DOUBLE[])
+             + list_inner_product(t.x::DOUBLE[], t.x::DOUBLE[]), c := t.c)) AS m
+    FROM v, c{i} t GROUP BY r))"""
+        )
+        if i < rounds:
+            parts.append(
+                f"""c{i + 1} AS MATERIALIZED (
+  SELECT t.c, coalesce(m.x, t.x) AS x FROM c{i} t LEFT JOIN (
+    SELECT c, list({floor_mean} ORDER BY pos) AS x FROM (
+      SELECT c, pos, sum(e)::BIGINT AS s, count(*) AS n FROM (
+        SELECT c, unnest(x) AS e, unnest(range(64)) AS pos FROM v JOIN a{i} USING (r)) GROUP BY c, pos)
+    GROUP BY c) m USING (c))"""
+            )
+    return (
+        ",\n".join(parts)
+        + f"""
+SELECT vec_id, c AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(t.x, ',')) AS centroid_sha256
+FROM v JOIN a{rounds} USING (r) JOIN c{rounds} t USING (c)"""
+    )
+
+
 def oracle_sql():
     return {
         "op1_decontamination": _DECONTAMINATION,
         "op2_url_filter": _URL_FILTER,
         "op9_jaccard_join": _JACCARD,
+        "op11_exact_dedup": _EXACT_DEDUP,
+        "op13_centroid_clustering": _clusters(),
     }
