@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from veclode.llm import language_id, quality, secret_scan, toxicity
 from veclode.llm.common import held_out
 from veclode.llm.centroids import cluster_vectors, with_inertia
+from veclode.llm.conversation_repair import repair_conversations
 from veclode.llm.decontamination import decontaminate, is_contaminated
 from veclode.llm.exact_dedup import exact_duplicates
 from veclode.llm.jaccard_join import jaccard_components
@@ -143,6 +144,28 @@ def op11_exact_dedup(spark, sf_dir):
     return found.select("doc_id", "keep_id", "group_size", "kept", digest)
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Messages damaged by their key's checksum modulo 20: 0 takes one away (``present`` is
+    false), 1 empties it, 2 takes its sentence ends, 3 repeats it, 4 makes it the user's."""
+    blank = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat_ws(":", blank("conv_id"), blank("turn"))) % 20
+    bare = F.translate(blank("text"), ".!?", "")
+    text = F.when(kind == 1, "").when(kind == 2, bare).otherwise(blank("text"))
+    times = F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return conversations.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(blank("role")).alias("role"),
+        text.alias("text"),
+        (kind != 0).alias("present"),
+        F.explode(times).alias("time"),
+    ).drop("time")
+
+
+def op12_conversation_repair(spark, sf_dir):
+    return repair_conversations(damaged(_table(spark, sf_dir, "conversations")), present="present")
+
+
 def op13_centroid_clustering(spark, sf_dir):
     return with_inertia(*cluster_vectors(_table(spark, sf_dir, "embeddings")))
 
@@ -162,6 +185,7 @@ def queries():
             op9_jaccard_join,
             op10_sharding,
             op11_exact_dedup,
+            op12_conversation_repair,
             op13_centroid_clustering,
         )
     }
@@ -249,6 +273,85 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
 FROM texts JOIN groups USING (text_sha256)"""
 
 
+def _conversation_repair() -> str:
+    """Cheapest edits by a forward pass: for each of four states the least "cost, then edits"
+    as one text, six digits first; ``~`` stands for no way."""
+
+    def more(x: str, cost: str, letters: str) -> str:
+        total = f"lpad((({x})[1:6]::INTEGER + {cost})::VARCHAR, 6, '0')"
+        return f"CASE WHEN {x} = '~' THEN '~' ELSE {total} || ({x})[7:] || '{letters}' END"
+
+    def only(letters: str, x: str) -> str:
+        return f"CASE WHEN lower(c) IN ({letters}) THEN {x} ELSE '~' END"
+
+    e = "CASE WHEN c = upper(c) THEN 3 ELSE 0 END"
+    user = "least(b[3], " + ", ".join(more(f"b[{i}]", "3", "I") for i in (1, 2, 4)) + ")"
+    with_user = f"list_transform([b], lambda b: [b[1], b[2], {user}, b[4]])[1]"
+    inserted = f"list_transform([{with_user}], lambda b: [b[1], b[2], b[3], least(b[4], {more('b[3]', '3', 'I')})])[1]"
+    keep = lambda i: more(f"b[{i}]", e, "K")
+    rerole = lambda i: only("'s','u','a','o'", more(f"b[{i}]", f"3 + {e}", "R"))
+    stepped = [
+        more("b[1]", "4", "D"),
+        f"least({more('b[2]', '4', 'D')}, {only(chr(39) + 's' + chr(39), keep(1))})",
+        f"least({more('b[3]', '4', 'D')}, "
+        + ", ".join([only("'u'", keep(i)) for i in (1, 2, 4)] + [rerole(i) for i in (1, 2, 4)])
+        + ")",
+        f"least({more('b[4]', '4', 'D')}, {only(chr(39) + 'a' + chr(39), keep(3))}, {rerole(3)})",
+    ]
+    step = f"list_transform([{inserted}], lambda b: array_to_string([{', '.join(stepped)}], '|'))[1]"
+    step = step.replace("list_transform([b]", "list_transform([string_split(acc, '|')]", 1)
+    last = f"least(b[1], {more('b[2]', '6', 'II')}, {more('b[3]', '3', 'I')}, b[4])"
+    bits = "list_reduce([xor(h, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384))"
+    name = "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"
+    units = f"list_transform(string_split({name}, ''), lambda u: ascii(u)::BIGINT)"
+    return rf"""
+WITH raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, {units}), lambda h, b: {bits}), 4294967295) % 20 AS k
+  FROM conversations),
+rows_ AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+         CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE k WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS time FROM raw),
+placed AS (
+  SELECT *, row_number() OVER w AS p, lag(role[1:1]) OVER w AS before,
+         rtrim(text, E' \t\n\x0b\x0c\r') AS bare
+  FROM rows_ WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, time)),
+told AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 AS again FROM placed),
+coded AS (
+  SELECT *, CASE WHEN bare = '' THEN 'b' WHEN again THEN 'd' WHEN bare[-1:] IN ('.', '!', '?') THEN letter
+                 ELSE upper(letter) END AS c
+  FROM (SELECT *, CASE WHEN role[1:1] IN ('s', 'u', 'a') THEN role[1:1] ELSE 'o' END AS letter FROM told)),
+whole AS (
+  SELECT conv_id, list(c ORDER BY p) AS codes, list(role ORDER BY p) AS roles, list(text ORDER BY p) AS texts,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (c = 'b') AS blank, count(*) FILTER (c = 'd') AS duplicate,
+         count(*) FILTER (c IN ('S', 'U', 'A', 'O')) AS truncated,
+         count(*) FILTER (before || role[1:1] NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM coded GROUP BY conv_id),
+solved AS (
+  SELECT *, list_transform([string_split(list_reduce(list_prepend('000000|~|~|~', codes),
+              lambda acc, c: {step}), '|')], lambda b: {last})[1] AS best FROM whole),
+edits AS (
+  SELECT conv_id, roles, texts, codes, best[7:] AS audit, unnest(range(1, length(best) - 5)) AS j FROM solved),
+done AS (
+  SELECT *, length(replace(audit[1:j], 'I', '')) AS i, length(replace(audit[1:j], 'D', '')) AS r, audit[j] AS edit,
+         length(replace(split_part(audit, 'K', 1), 'D', '')) = 0
+           AND lower(codes[length(split_part(audit, 'K', 1)) + 1]) = 's' AND contains(audit, 'K') AS s
+  FROM edits),
+lines AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN roles[i]
+      WHEN (r - s::INTEGER) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+      || CASE WHEN edit = 'I' THEN '' ELSE texts[i] END, chr(10) ORDER BY j) AS repaired
+  FROM done WHERE edit <> 'D' GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(best[1:6]::BIGINT, 0) AS cost, coalesce(best[7:], '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN solved ON solved.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN lines ON lines.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
 def _clusters(rounds: int = 5, k: int = 40) -> str:
     """Every round as a table of its own; dot products of whole numbers this small are exact."""
     floor_mean = "(s - ((s % n) + n) % n) // n"
@@ -293,5 +396,6 @@ def oracle_sql():
         "op2_url_filter": _URL_FILTER,
         "op9_jaccard_join": _JACCARD,
         "op11_exact_dedup": _EXACT_DEDUP,
+        "op12_conversation_repair": _conversation_repair(),
         "op13_centroid_clustering": _clusters(),
     }
