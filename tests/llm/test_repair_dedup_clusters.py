@@ -1,0 +1,281 @@
+"""Conversation repair, exact deduplication and centroid clustering, against brute force."""
+
+import hashlib
+import math
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from veclode.llm import centroids, conversation_repair, exact_dedup, queries
+
+# --- exact deduplication --------------------------------------------------------------
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 50, 1000, 5000])
+def test_hash_is_perfect_and_minimal(n):
+    rows = [hashlib.sha256(str(i).encode()).digest() for i in range(n)]
+    digests = np.frombuffer(b"".join(rows), np.uint8).reshape(-1, 32)
+    seeds = exact_dedup.perfect_hash(digests)
+    assert sorted(exact_dedup.slot_of(digests, seeds, n).tolist()) == list(range(n))
+    other = np.frombuffer(hashlib.sha256(b"x").digest(), np.uint8).reshape(1, 32)
+    assert 0 <= exact_dedup.slot_of(other, seeds, n)[0] < n
+
+
+def dedup_rows(n=300):
+    rng = random.Random(3)
+    texts = [None, "", " \n", "a b", "ab", "a  b ", "é ", "é", "x" * 70_000, "x" * 70_000 + "\t"]
+    texts += ["".join(rng.choices("ab \n", k=rng.randrange(8))) for _ in range(n)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(5, "a b c"), (5, "a b c"), (None, "a b c "), (None, "zz")]
+    rng.shuffle(rows)
+    return rows
+
+
+def expected_groups(rows):
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups["".join(c for c in t or "" if c not in " \t\n\x0b\x0c\r")].append((i, t or ""))
+    return groups
+
+
+@pytest.mark.parametrize("historical", ["doc_id % 2 = 0", "doc_id = 3", "true", "false"])
+def test_duplicates(spark, historical):
+    rows = dedup_rows()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns(
+        {c: F.lit(1) for c in ("row", "digest", "key", "length", "member")}
+    )
+    found = exact_dedup.exact_duplicates(docs.repartition(5), F.expr(historical), segment=8).collect()
+    groups = expected_groups(rows)
+    assert len(found) == len(rows)
+    kept = defaultdict(int)
+    for r in found:
+        kept[bytes(r["digest"])] += r["kept"]
+    assert set(kept.values()) == {1} and len(kept) == len(groups)
+    by_digest = {hashlib.sha256(t.encode()).digest(): g for t, g in groups.items()}
+    for r in found:
+        group = by_digest[bytes(r["digest"])]
+        least = min(group, key=lambda m: (-len(m[1]), m[0] is not None, m[0] or 0))
+        assert r["keep_id"] == least[0] and r["group_size"] == len(group)
+        assert not r["kept"] or r["doc_id"] == r["keep_id"]
+
+
+def test_no_documents_and_no_history(spark):
+    docs = spark.createDataFrame([], "doc_id string, text string")
+    assert exact_dedup.exact_duplicates(docs, F.lit(True)).collect() == []
+
+
+def test_lookups_compare_bytes(spark):
+    """A digest that history has not seen also leads to a slot, and is not taken for its text."""
+    rows = [(i, f"old {i}") for i in range(40)] + [(100 + i, f"new {i}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = exact_dedup.exact_duplicates(docs, F.col("doc_id") < 100, segment=8).collect()
+    assert len(found) == 440 and all(r["kept"] and r["group_size"] == 1 for r in found)
+
+
+# --- conversation repair --------------------------------------------------------------
+
+
+def cheapest(codes):
+    """All ways at once, the least (cost, edits) for each state."""
+    best = {conversation_repair.START: (0, "")}
+    for code in codes:
+        for _ in range(2):
+            for state, (cost, edits) in list(best.items()):
+                to = conversation_repair.TURNS_TO[state]
+                best[to] = min(best.get(to, (math.inf,)), (cost + 3, edits + "I"))
+        after = {}
+
+        def put(state, cost, edits):
+            after[state] = min(after.get(state, (math.inf,)), (cost, edits))
+
+        for state, (cost, edits) in best.items():
+            put(state, cost + 4, edits + "D")
+            if code not in "bd":
+                extra = 3 * code.isupper()
+                if (to := conversation_repair.KEEPS[state].get(code.lower())) is not None:
+                    put(to, cost + extra, edits + "K")
+                put(conversation_repair.TURNS_TO[state], cost + 3 + extra, edits + "R")
+        best = after
+    ends = conversation_repair.ENDS
+    return min((cost + 3 * ends[s], edits + "I" * ends[s]) for s, (cost, edits) in best.items())
+
+
+def test_search_finds_the_first_of_the_cheapest():
+    rng = random.Random(4)
+    for _ in range(3000):
+        codes = "".join(rng.choices("suaoSUAObd", k=rng.randrange(10)))
+        cost, edits, state = conversation_repair.search(codes)
+        assert (cost, edits + "I" * conversation_repair.ENDS[state]) == cheapest(codes), codes
+
+
+def expected_repair(rows):
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or " ", r[2] or " "))
+    seen, codes, counts = set(), "", defaultdict(int)
+    turns = [t for t, _, _ in rows if t is not None]
+    messages = [(role if role is not None else " ", text if text is not None else " ") for _, role, text in rows]
+    for message in messages:
+        end = message[1].rstrip(" \t\n\x0b\x0c\r")
+        letter = message[0][:1] if message[0][:1] in ("s", "u", "a") else "o"
+        code = "b" if not end else "d" if message in seen else letter if end[-1] in ".!?" else letter.upper()
+        seen.add(message)
+        codes += code
+    for (a, _), (b, _) in zip(messages, messages[1:]):
+        counts["illegal"] += a[:1] + b[:1] not in ("su", "ua", "au")
+    cost, audit = cheapest(codes)
+    lines, todo = [], iter(messages)
+    for edit in audit:
+        role, text = next(todo) if edit != "I" else (None, "")
+        if edit == "D":
+            continue
+        if edit != "K":
+            before = lines[-1][0] if lines else ""
+            role = "assistant" if before.startswith("u") else "user"
+        lines.append((role, text))
+    digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in lines).encode()).hexdigest()
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    truncated = sum(c.isupper() for c in codes)
+    row = (gaps, codes.count("b"), codes.count("d"), truncated, counts["illegal"], cost, audit, digest)
+    return row, lines
+
+
+def conversations(seed=5, n=60, long=300):
+    rng = random.Random(seed)
+    rows = []
+    for c in [None, *range(n)]:
+        length = long if c in (7, None) else rng.randrange(1, 9)
+        for t in range(length):
+            role = rng.choice(["user", "assistant", "user", "assistant", "system", None, "", "tool", "unit"])
+            role = ("user", "assistant")[t % 2] if rng.random() < 0.8 else role
+            text = rng.choice(["yes.", "no", "", None, " \n", "what?", "é!", f"line {t}.", f"line {t}", "A.\n"])
+            rows.append((c, None if rng.random() < 0.05 else t * rng.choice([1, 1, 2]), role, text))
+    return rows + rows[::17]
+
+
+COUNTS = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+
+
+def check_repair(spark, rows, parts):
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    df = df.withColumns({c: F.lit("x") for c in ("key", "segment", "row", "present")}).repartition(parts)
+    found = {r["conv_id"]: tuple(r[c] for c in COUNTS) for r in conversation_repair.repair_conversations(df).collect()}
+    by_key = defaultdict(list)
+    for c, *row in rows:
+        by_key[c].append(tuple(row))
+    expected = {c: expected_repair(own) for c, own in by_key.items()}
+    assert found == {c: row for c, (row, _) in expected.items()}
+    lines = defaultdict(list)
+    for r in conversation_repair.repaired_messages(df).orderBy("conv_id", "place").collect():
+        assert r["place"] == len(lines[r["conv_id"]])
+        lines[r["conv_id"]].append((r["role"], r["text"]))
+    assert lines == {c: own for c, (_, own) in expected.items() if own}
+
+
+def test_repair(spark):
+    check_repair(spark, conversations(), 5)
+
+
+def test_one_conversation_holds_most_messages(spark, monkeypatch):
+    monkeypatch.setitem(conversation_repair._first_pass.__globals__, "SEGMENT", 4)
+    check_repair(spark, conversations(6, 5, 500), 3)
+
+
+def test_known_conversations_without_messages(spark):
+    rows = [(1, 0, "user", "a.", False), (2, 0, "user", "a.", True), (2, 1, "user", "b.", False)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string, here boolean")
+    found = {r["conv_id"]: r for r in conversation_repair.repair_conversations(df, present="here").collect()}
+    assert set(found) == {1, 2}
+    assert tuple(found[1][c] for c in COUNTS) == (0,) * 6 + ("", hashlib.sha256(b"").hexdigest())
+    assert found[2]["audit"] == "KI" and found[2]["cost"] == 3
+    assert conversation_repair.repair_conversations(df.limit(0), present="here").collect() == []
+
+
+def test_damage(spark):
+    rows = [(c, t, "assistant", "One. Two!") for c in range(40) for t in (None, 0, 1)] + [(None, None, None, None)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    found = defaultdict(list)
+    for r in queries.damaged(df).collect():
+        found[r["conv_id"], r["turn"]].append((r["role"], r["text"], r["present"]))
+    kinds = set()
+    for c, t, role, text in rows:
+        name = f"{' ' if c is None else c}:{' ' if t is None else t}"
+        kind = zlib.crc32(name.encode()) % 20
+        kinds.add(min(kind, 5))
+        text = {1: "", 2: "One Two"}.get(kind, text) if text else {1: ""}.get(kind, " ")
+        role = "user" if kind == 4 else role or " "
+        assert found[c, t] == [(role, text, kind != 0)] * (2 if kind == 3 else 1)
+    assert kinds == {0, 1, 2, 3, 4, 5}
+
+
+# --- centroid clustering --------------------------------------------------------------
+
+
+def expected_clusters(vectors, k, rounds, scale, seed):
+    """Plain whole-number arithmetic; vectors: (key, components)."""
+    named = sorted((hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest(), x) for i, x in vectors)
+    means = [x for _, x in named[:k]]
+    apart = lambda x, c: sum((a - b) ** 2 for a, b in zip(x, c))
+    near = lambda x: min(range(len(means)), key=lambda c: (apart(x, means[c]), c))
+    for _ in range(rounds):
+        own = defaultdict(list)
+        for _, x in vectors:
+            own[near(x)].append(x)
+        means = [
+            tuple(sum(v) // len(own[c]) for v in zip(*own[c])) if own[c] else m for c, m in enumerate(means)
+        ]
+    return sorted((str(i), near(x), apart(x, means[near(x)])) for i, x in vectors), means
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 4])
+def test_clusters(spark, rounds):
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(i % 3, 0.4) for _ in range(4)]) for i in range(120)]
+    rows += rows[:5] + [(None, [0.5] * 4), (500, [0.0] * 4), (501, [0.0] * 4)]
+    odd = [(200, None), (201, [1.0] * 3), (202, [1.0] * 5), (203, [1.0, None, 1.0, 1.0])]
+    odd += [(204, [math.nan] * 4), (205, [math.inf] * 4), (206, []), (207, [-math.inf, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows + odd, "vec_id bigint, embedding array<double>").repartition(3)
+    df = df.withColumns({c: F.lit(1) for c in ("x", "state", "key", "cluster")})
+    found, means = centroids.cluster_vectors(df, k=7, rounds=rounds, dim=4)
+    whole = [(i, tuple(math.floor(256 * e) for e in x)) for i, x in rows]
+    expected, expected_means = expected_clusters(whole, 7, rounds, 256, 2)
+    got = centroids.with_inertia(found, means).collect()
+    assert sorted((str(r["vec_id"]), r["cluster"], r["distance"]) for r in got) == expected
+    assert [tuple(m) for m in means.tolist()] == expected_means
+    total = sum(d for _, _, d in expected)
+    for r in got:
+        assert r["inertia"] == total
+        assert r["cluster_inertia"] == sum(d for _, c, d in expected if c == r["cluster"])
+        text = ",".join(map(str, expected_means[r["cluster"]]))
+        assert r["centroid_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_few_or_no_vectors(spark):
+    schema = "vec_id bigint, embedding array<float>"
+    for rows in ([], [(1, None)], [(1, [1.0, 2.0])], [(1, [1.0, 2.0]), (2, [1.0, 2.0])]):
+        found, means = centroids.cluster_vectors(spark.createDataFrame(rows, schema), k=3, dim=2)
+        kept = [r for r in rows if r[1]]
+        assert len(means) == len(kept)
+        assert [(r["cluster"], r["distance"]) for r in found.collect()] == [(0, 0)] * len(kept)
+        assert centroids.with_inertia(found, means).count() == len(kept)
+
+
+def test_too_large_components_end_the_job(spark):
+    df = spark.createDataFrame([(1, [1e9])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(PySparkException, match="must be below"):
+        centroids.cluster_vectors(df, k=1, dim=1)[0].collect()
+
+
+def test_products_follow_changed_components_only():
+    rng = np.random.default_rng(9)
+    x = rng.integers(-50, 50, (6, 30))
+    before, after = rng.integers(-9, 9, (4, 6)), None
+    after = before.copy()
+    after[1, 2] += 3
+    after[3] = 0
+    products = centroids.updated(before @ x, x, after - before)
+    assert (products == after @ x).all()
+    cluster, _ = centroids.nearest(np.zeros((3, 2), np.int64), np.ones((3, 1), np.int64))
+    assert cluster.tolist() == [0, 0]  # ties
