@@ -8,43 +8,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import keep_lines, mail_body
-
-
-def _hidden(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """Folders and files below ``path`` whose names Spark passes over."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-    folders, files = [], []
-    todo = [s for s in fs.globStatus(root) or [] if s.isDirectory()]
-    while todo:
-        for status in fs.listStatus(todo.pop().getPath()):
-            name = status.getPath().getName()
-            if ".DS_Store" in name:
-                continue
-            if status.isDirectory():
-                todo.append(status)
-            if name.startswith((".", "_")) and not name.endswith(".crc"):
-                (folders if status.isDirectory() else files).append(status.getPath().toString())
-    return folders, files
+from .file_tree import read_files
 
 
 def read_documents(
     spark: SparkSession,
     path: str,
     predicate: Callable[[Column], Column] = mail_body,
+    hidden: bool = True,
 ) -> DataFrame:
     """``doc_id`` (the file's path) and ``content`` of every file below ``path``.
 
-    ``predicate`` picks the lines to keep. Spark passes over names that start with ``.`` or
-    ``_``: folders of such names are read as roots of their own, and a file of such a name
-    is refused, by name. Paths that hold ``.DS_Store`` are left out.
+    ``predicate`` picks the lines to keep. Paths that hold ``.DS_Store`` are left out.
+    Folders are listed and files read in tasks, whatever their names (see
+    :mod:`.file_tree`). ``hidden=False`` reads with Spark's own text reader instead, for file
+    systems only the JVM knows; it passes over names that start with ``.`` or ``_``.
     """
-    folders, files = _hidden(spark, path)
-    if files:
-        raise ValueError(f"rename files that Spark cannot read: {', '.join(files[:20])}")
-    files = spark.read.text([path, *folders], wholetext=True, recursiveFileLookup=True)
+    if hidden:
+        files = read_files(spark, path).select("path", F.col("value").cast("string").alias("value"))
+    else:
+        found = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+        files = found.select(F.col("_metadata.file_path").alias("path"), "value")
     return files.select(
-        F.col("_metadata.file_path").alias("doc_id"),
-        keep_lines(F.col("value"), predicate).alias("content"),
+        F.col("path").alias("doc_id"), keep_lines(F.col("value"), predicate).alias("content")
     )
