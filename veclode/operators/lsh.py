@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -149,6 +149,96 @@ def lsh_params(
     return LshParams(family, members, offsets[drawn], np.full((tables, chain), float(w)), drawn)
 
 
+GOLDEN = 0x9E3779B97F4A7C15
+MIXERS = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit number's hash (the finalizer of SplitMix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(MIXERS[0])
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(MIXERS[1])
+    return x ^ (x >> np.uint64(31))
+
+
+@dataclass(frozen=True)
+class GeneratedParams:
+    """A family whose coefficients are computed where they are needed.
+
+    The coefficient of a member at an index is drawn by a hash of (seed, member, index), so
+    vectors may be as wide as they like: nothing is stored, shipped or joined. ``drawn``,
+    ``b``, ``w`` (tables x chain) are those of :class:`LshParams`.
+    """
+
+    family: str
+    dim: int
+    seed: int
+    drawn: np.ndarray
+    b: np.ndarray
+    w: np.ndarray
+    mu: float = 0.0
+    sigma: float = 1.0
+    dist: str = "gaussian"
+
+    @property
+    def tables(self) -> int:
+        return self.drawn.shape[0]
+
+    @property
+    def chain(self) -> int:
+        return self.drawn.shape[1]
+
+    @property
+    def used_members(self) -> np.ndarray:
+        return np.unique(self.drawn)
+
+    def used(self, chain: int) -> GeneratedParams:
+        """The first ``chain`` places of every table."""
+        first = slice(None), slice(chain)
+        return replace(self, drawn=self.drawn[first], b=self.b[first], w=self.w[first])
+
+    def coefficients(self, indices: np.ndarray) -> np.ndarray:
+        """Indices x used members."""
+        with np.errstate(over="ignore"):
+            keys = _mixed(np.uint64(self.seed) + (self.used_members.astype(np.uint64) + np.uint64(1)) * np.uint64(GOLDEN))
+            bits = _mixed(keys[None, :] + (indices.astype(np.uint64)[:, None] + np.uint64(1)) * np.uint64(GOLDEN))
+        # two uniform numbers strictly between 0 and 1
+        first = ((bits >> np.uint64(32)).astype(float) + 0.5) / 2**32
+        second = ((bits & np.uint64(0xFFFFFFFF)).astype(float) + 0.5) / 2**32
+        if self.dist == "uniform_sign":
+            return np.where(second < 0.5, -first, first)
+        return self.mu + self.sigma * np.sqrt(-2 * np.log(first)) * np.cos(2 * np.pi * second)
+
+
+def generated_params(
+    family: str,
+    dim: int,
+    family_size: int,
+    tables: int,
+    chain: int,
+    seed: int,
+    w: int = 1,
+    mu: float = 0.0,
+    sigma: float = 1.0,
+    dist: str = "gaussian",
+) -> GeneratedParams:
+    """:func:`lsh_params` for vectors of any width: only the chains and offsets are drawn here.
+
+    Angle projections are not scaled to length 1, which changes no sign.
+    """
+    if family not in ("angle", "pstable"):
+        raise ValueError(f"unknown family {family!r}")
+    if dist not in ("gaussian", "uniform_sign"):
+        raise ValueError(f"unknown dist {dist!r}")
+    if family == "angle":
+        _check_angle_chain(chain)
+    rng = np.random.default_rng(seed)
+    offsets = rng.integers(0, w, family_size).astype(float) if family == "pstable" else np.zeros(family_size)
+    drawn = rng.integers(0, family_size, (tables, chain))
+    return GeneratedParams(
+        family, dim, seed, drawn, offsets[drawn], np.full((tables, chain), float(w)), mu, sigma, dist
+    )
+
+
 def _check_angle_chain(chain: int) -> None:
     if chain > 63:
         raise ValueError("an angle bucket holds at most 63 bits")
@@ -186,19 +276,23 @@ def _dense_dots(flat: np.ndarray, matrix: np.ndarray) -> np.ndarray:
 
 
 def _sparse_dots(
-    indices: np.ndarray, values: np.ndarray, lengths: np.ndarray, matrix: np.ndarray
+    indices: np.ndarray,
+    values: np.ndarray,
+    lengths: np.ndarray,
+    coefficients: Callable[[np.ndarray], np.ndarray],
+    members: int,
 ) -> np.ndarray:
-    """Row-wise sums of the coefficient rows picked by the indices, a block at a time."""
-    dots = np.zeros((len(lengths), matrix.shape[1]))
+    """Row-wise sums of the indices' coefficients (indices x members), a block at a time."""
+    dots = np.zeros((len(lengths), members))
     ends = np.cumsum(lengths)
-    row, step = 0, max(1, BLOCK // matrix.shape[1])
+    row, step = 0, max(1, BLOCK // members)
     while row < len(lengths):
         start = ends[row] - lengths[row]
         stop_row = max(row + 1, int(np.searchsorted(ends, start + step, side="right")))
         stop = ends[stop_row - 1]
         filled = np.flatnonzero(lengths[row:stop_row])
         if len(filled):
-            products = matrix[indices[start:stop]] * values[start:stop, None]
+            products = coefficients(indices[start:stop]) * values[start:stop, None]
             starts = ends[row:stop_row][filled] - lengths[row:stop_row][filled] - start
             dots[row + filled] = np.add.reduceat(products, starts, axis=0)
         row = stop_row
@@ -209,14 +303,33 @@ def _list_array(values: pa.Array, width: int, rows: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * width), values)
 
 
-def _bucket_column(params: LshParams, vector: Column, dense: bool, bucketing: Bucketing, depth: int):
+def _distinct_first(coefficients: Callable[[np.ndarray], np.ndarray]):
+    """Compute the coefficients of an index once for all its places in a block."""
+
+    def found(indices: np.ndarray) -> np.ndarray:
+        distinct, place = np.unique(indices, return_inverse=True)
+        return coefficients(distinct)[place]
+
+    return found
+
+
+def _bucket_column(
+    params: LshParams | GeneratedParams, vector: Column, dense: bool, bucketing: Bucketing, depth: int
+):
     """Arrow function: vector -> buckets. ``depth`` 1 gives one per table, 2 one per projection.
 
     Marked nondeterministic so the optimizer neither copies it into filters nor runs it twice.
     """
     tables, chain, dim = params.tables, params.chain, params.dim
-    matrix = np.ascontiguousarray(params.members.T)
     b, w, drawn = params.b, params.w, params.drawn
+    if isinstance(params, GeneratedParams):
+        # members stand by their place among those used
+        members, matrix = len(params.used_members), None
+        drawn = np.searchsorted(params.used_members, drawn)
+        coefficients = _distinct_first(params.coefficients)
+    else:
+        members, matrix = len(params.members), np.ascontiguousarray(params.members.T)
+        coefficients = lambda indices: matrix[indices]
 
     kind = ArrayType(LongType()) if depth == 1 else ArrayType(ArrayType(LongType()))
 
@@ -236,7 +349,11 @@ def _bucket_column(params: LshParams, vector: Column, dense: bool, bucketing: Bu
                 flat = batch.flatten().to_numpy(zero_copy_only=False)
                 if len(flat) != len(batch) * dim:
                     raise ValueError(f"every vector must have {dim} dimensions")
-                yield from_dots(_dense_dots(flat, matrix))
+                if matrix is not None:
+                    yield from_dots(_dense_dots(flat, matrix))
+                    continue
+                indices, lengths = np.tile(np.arange(dim), len(batch)), np.full(len(batch), dim)
+                yield from_dots(_sparse_dots(indices, flat, lengths, coefficients, members))
 
         filled = F.coalesce(vector, F.array_repeat(F.lit(0.0), dim))
         return F.when(vector.isNotNull(), hash_dense.asNondeterministic()(filled))
@@ -251,7 +368,8 @@ def _bucket_column(params: LshParams, vector: Column, dense: bool, bucketing: Bu
                 indices.flatten().to_numpy(zero_copy_only=False),
                 values.flatten().to_numpy(zero_copy_only=False),
                 lengths,
-                matrix,
+                coefficients,
+                members,
             )
             yield from_dots(dots)
 
@@ -286,7 +404,7 @@ def _joined_dots(df: DataFrame, params: LshParams, features: str, dense: bool) -
 
 def lsh_index(
     df: DataFrame,
-    params: LshParams,
+    params: LshParams | GeneratedParams,
     features: str = "features",
     rounding: str = "floor",
     chain: str = "all",
@@ -302,7 +420,8 @@ def lsh_index(
     numbers folded to 64 bits, both bigints. ``rounding`` is ``floor`` or
     ``trunc`` (toward zero). ``bucketing`` replaces the family's own rule: from dot
     products (rows x tables x chain), ``b`` and ``w`` to rows x tables numbers. A null
-    vector has null buckets; a vector of another size ends the job.
+    vector has null buckets; a vector of another size ends the job. With
+    :class:`GeneratedParams` coefficients are computed in the tasks; nothing is shuffled.
     """
     if rounding not in ("floor", "trunc") or chain not in ("all", "first", "folded"):
         raise ValueError("rounding is floor or trunc, chain is all, first or folded")
@@ -327,7 +446,7 @@ def lsh_index(
                     return each(dots, b, w)[:, :, 0]
 
     depth = 2 if whole_chain else 1
-    if params.members.size <= shipped:
+    if isinstance(params, GeneratedParams) or params.members.size <= shipped:
         hashed = df.withColumn(
             out, _bucket_column(params, F.col(features), dense, bucketing, depth)
         )
