@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import sys
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,8 +33,11 @@ from veclode.operators.dimensions import (  # noqa: E402
 )
 from veclode.operators.lsh import (  # noqa: E402
     FOLD,
+    GOLDEN,
+    MIXERS,
     Family,
     LshParams,
+    generated_params,
     lsh_histogram,
     lsh_index,
     lsh_params,
@@ -51,10 +56,13 @@ from veclode.operators.tfidf import (  # noqa: E402
 )
 from veclode.operators.vocabulary import keep_vocab, top_fraction_vocab, word_count  # noqa: E402
 from veclode.plans.jobs import text_tfidf, title_points  # noqa: E402
-from veclode.sources.bibliography import article_fields  # noqa: E402
-from veclode.session import ensure_checkpoint_dir, spread_small  # noqa: E402
-from veclode.sources.lsh_files import hash_function_fields  # noqa: E402
-from veclode.sources.points import read_libsvm  # noqa: E402
+from veclode.session import cut_lineage, ensure_checkpoint_dir, spread_small  # noqa: E402
+from veclode.sources.bibliography import article_fields, read_articles  # noqa: E402
+from veclode.sources.documents import read_documents  # noqa: E402
+from veclode.sources.file_tree import write_files  # noqa: E402
+from veclode.sources.lines import numbered_lines  # noqa: E402
+from veclode.sources.lsh_files import hash_function_fields, read_lsh_params  # noqa: E402
+from veclode.sources.points import read_labeled_points, read_libsvm, read_sparse_vectors  # noqa: E402
 from veclode.sources.tables import keyed_fields, labeled_fields  # noqa: E402
 
 try:
@@ -89,7 +97,12 @@ def _signed_max() -> Family:
 
 
 SIGNED_MAX = lsh_params(_signed_max(), 64, family_size=16, tables=3, chain=6, seed=16)
+# Three million dimensions: coefficients are computed, not stored
+WIDE = generated_params("angle", 3_000_000, family_size=6, tables=2, chain=4, seed=17)
+FILE_CHAIN, FILE_TABLES = 4, 3
 SPLIT_SEED = 7
+# Bytes of a file split in the queries that read files in several ways.
+SPLIT_SIZES = (1 << 16, 1 << 18, 1 << 27)
 TERM_FRACTION = 0.05
 
 
@@ -494,6 +507,158 @@ def chisq_select(spark, sf_dir):
     return _entries(chi_square_select(_categories(spark, sf_dir), 2), "l_orderkey", "label")
 
 
+# --- files, written first and read back ------------------------------------------------
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4()}"
+
+
+@contextmanager
+def _split_bytes(spark: SparkSession, size: int) -> Iterator[None]:
+    """Files are read in splits of ``size`` bytes inside the block."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    for name in names:
+        spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def documents_from_files(spark, sf_dir):
+    """Every document as a file, names that start with ``_`` and ``.`` among them, read back."""
+    name = F.concat(
+        F.col("lang"),
+        F.element_at(F.array(*map(F.lit, ("/", "/_", "/.", "/_old/", "/.x/_"))), F.col("doc_id").cast("int") % 5 + 1),
+        F.col("doc_id").cast("string"),
+    )
+    documents = _table(spark, sf_dir, "documents").select(name.alias("name"), "text")
+    folder = _folder(spark, "documents")
+    write_files(documents, folder, "name", "text")
+    doc_id = F.regexp_extract("doc_id", r"(\d+)$", 1).cast("bigint").alias("doc_id")
+    return read_documents(spark, folder).select(doc_id, "content")
+
+
+def _bibliography(record_year: Column) -> Column:
+    """An order as a record that several lines hold; every seventh is not an article."""
+    kind = F.when(F.col("o_orderkey") % 7 == 0, "book").otherwise("article")
+    title = F.concat_ws(" ", "o_orderpriority", F.lit("Order"), "o_orderstatus", "o_custkey")
+    year = F.when(F.col("o_orderkey") % 11 == 0, "").otherwise(
+        F.concat(F.lit("<year>"), record_year.cast("string"), F.lit("</year>\n"))
+    )
+    parts = ["<", kind, " key='", F.col("o_orderkey").cast("string"), "'>\n<title>", title, ".</title>\n", year]
+    return F.concat(*(p if isinstance(p, Column) else F.lit(p) for p in [*parts, "</", kind, ">"]))
+
+
+def articles_from_files(spark, sf_dir):
+    """Bibliography files read in many small splits, in larger ones and whole."""
+    orders = _table(spark, sf_dir, "orders")
+    folder = _folder(spark, "bibliography")
+    records = orders.select(_bibliography(F.year("o_orderdate")).alias("value"))
+    sinks.write_lines(records, F.col("value"), folder, 3)
+    found = []
+    for size in SPLIT_SIZES:
+        with _split_bytes(spark, size):  # articles are kept as a table while it lasts
+            found.append(cut_lineage(read_articles(spark, folder)).withColumn("split_bytes", F.lit(size)))
+    return reduce(DataFrame.unionByName, found)
+
+
+def stable_keys(spark, sf_dir):
+    """Lines of a file keyed in splits of two sizes, with the text that lies there."""
+    folder = _folder(spark, "lines")
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    line = F.concat_ws("|", "o_orderkey", "o_orderpriority")
+    sinks.write_lines(orders.orderBy("o_orderkey"), line, folder)
+    found = []
+    for size in SPLIT_SIZES[:2]:
+        with _split_bytes(spark, size):
+            keyed = numbered_lines(spark, folder).select("key", "value")
+            found.append(cut_lineage(keyed).withColumn("split_bytes", F.lit(size)))
+    return reduce(DataFrame.unionByName, found)
+
+
+def split_folders(spark, sf_dir):
+    """Training and test vectors in text folders of their own, checked and read back."""
+    split = exact_split(_embeddings(spark, sf_dir), 50, SPLIT_SEED, key="vec_id")
+    sparse = split.withColumn("features", V.dense_to_sparse(F.col("features")))
+    folder = _folder(spark, "split")
+    found = []
+    for name, written in sinks.write_split(sparse, folder, "text", key="vec_id").items():
+        sinks.check_written(spark, f"{folder}_{name}", written)
+        read = read_sparse_vectors(spark, f"{folder}_{name}").withColumn("split", F.lit(name))
+        found.append(read.withColumn("rows", F.lit(written.rows)))
+    both = reduce(DataFrame.unionByName, found)
+    return both.select("split", "rows", "key", V.inline_entries(F.col("vector"))).toDF(
+        "split", "rows", "key", "idx", "value"
+    )
+
+
+def indexed_vectors(spark, sf_dir):
+    """Vectors numbered by their length and id as text, checked and read back."""
+    vectors = _embeddings(spark, sf_dir).select(
+        "vec_id", V.dense_to_sparse(F.slice("features", 1, F.col("vec_id").cast("int") % 8 + 1)).alias("features")
+    )
+    vectors = vectors.withColumn("width", F.col("features")["size"])
+    folder = _folder(spark, "vectors")
+    order = [("width", "desc"), ("vec_id", "asc")]
+    written = sinks.write_indexed_vectors(vectors, folder, order, "text")
+    sinks.check_written(spark, folder, written)
+    read = read_sparse_vectors(spark, folder).withColumn("rows", F.lit(written.rows))
+    return read.select("rows", "key", V.inline_entries(F.col("vector"))).toDF("rows", "key", "idx", "value")
+
+
+def histogram_lines(spark, sf_dir):
+    """A histogram as text; its lines are told by their place, which is that of the buckets."""
+    folder = _folder(spark, "histogram")
+    written = sinks.write_histogram(bucket_histogram(spark, sf_dir), folder, "text")
+    sinks.check_written(spark, folder, written)
+    return numbered_lines(spark, folder).select("key", F.col("value").alias("line"))
+
+
+def written_rows(spark, sf_dir):
+    """Rows that writing labelled points reports, in every format, and those found there."""
+    items = _items(spark, sf_dir).withColumnRenamed("l_linenumber", "label")
+    points = items.select("label", V.dense_to_sparse(F.col("features")).alias("features"))
+    points = points.withColumn("label", F.col("label").cast("double"))
+    found = []
+    for fmt in ("parquet", "text", "libsvm"):
+        folder = _folder(spark, fmt)
+        rows = sinks.write_labeled_points(points, folder, fmt)
+        if fmt == "parquet":
+            back = spark.read.parquet(folder)
+        else:
+            back = read_labeled_points(spark, folder) if fmt == "text" else read_libsvm(spark, folder, 3)
+        total = F.round(F.sum(F.aggregate(F.col("features")["values"], F.lit(0.0), lambda a, x: a + x)), 2)
+        found.append(
+            back.agg(F.count(F.lit(1)).alias("n"), total.alias("total"))
+            .withColumn("format", F.lit(fmt))
+            .withColumn("rows", F.lit(rows))
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
+def lsh_from_file(spark, sf_dir):
+    """The first vectors as hash functions in two files, a chain across both, then used."""
+    functions = _embeddings(spark, sf_dir).filter(F.col("vec_id") < FILE_CHAIN * FILE_TABLES)
+    line = V.format_sparse(V.dense_to_sparse(F.col("features")))
+    folder = _folder(spark, "functions")
+    edge = FILE_CHAIN + 2
+    for part, rows in (("a", F.col("vec_id") < edge), ("b", F.col("vec_id") >= edge)):
+        one = functions.filter(rows).orderBy("vec_id").coalesce(1)
+        sinks.write_lines(one, line, f"{folder}/{part}")
+    params = read_lsh_params(spark, f"{folder}/*", "angle", FILE_CHAIN)
+    return lsh_rows(lsh_index(_embeddings(spark, sf_dir), params), "vec_id")
+
+
+def lsh_wide(spark, sf_dir):
+    """Buckets of documents' hashed words among three million dimensions."""
+    counted = hashing_tf(_words(spark, sf_dir), WIDE.dim)
+    return lsh_rows(lsh_index(counted, WIDE), "doc_id")
+
+
 # --- contract -----------------------------------------------------------------------
 
 
@@ -556,6 +721,15 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "row_index": row_index,
         "extract_title_year": title_words,
         "title_points": bibliography_titles,
+        "documents_from_files": documents_from_files,
+        "articles_from_files": articles_from_files,
+        "stable_keys": stable_keys,
+        "split_folders": split_folders,
+        "indexed_vectors": indexed_vectors,
+        "histogram_lines": histogram_lines,
+        "written_rows": written_rows,
+        "lsh_from_file": lsh_from_file,
+        "lsh_wide": lsh_wide,
     }
 
 
@@ -710,6 +884,44 @@ test AS (
   GROUP BY idx)"""
 )
 
+
+def _wide_sql() -> str:
+    """The coefficients of :data:`WIDE` for the indices that occur, by the same hash."""
+    modulus = f"{2**64}::UHUGEINT"
+
+    def times(x: str, factor: int) -> str:
+        return f"(({x})::UHUGEINT * {factor}::UHUGEINT % {modulus})::UBIGINT"
+
+    def plus(x: str, y: str) -> str:
+        return f"((({x})::UHUGEINT + ({y})::UHUGEINT) % {modulus})::UBIGINT"
+
+    def mixed(x: str) -> str:
+        steps = ((30, MIXERS[0]), (27, MIXERS[1]))
+        for shift, factor in steps:
+            x = f"list_transform([{x}], lambda v: {times(f'xor(v, v >> {shift})', factor)})[1]"
+        return f"list_transform([{x}], lambda v: xor(v, v >> 31))[1]"
+
+    keyed = mixed(plus(f"{WIDE.seed}::UBIGINT", times("(member + 1)::UBIGINT", GOLDEN)))
+    drawn = mixed(plus("k", times("(idx + 1)::UBIGINT", GOLDEN)))
+    places = ", ".join(
+        f"({t}, {p}, {WIDE.drawn[t, p]})" for t in range(WIDE.tables) for p in range(WIDE.chain)
+    )
+    return f""",
+places(table_id, pos, member) AS (VALUES {places}),
+members AS (SELECT member, {keyed} AS k FROM (SELECT DISTINCT member FROM places)),
+bits AS (SELECT member, idx, {drawn} AS z FROM members, (SELECT DISTINCT idx FROM tf)),
+coefficients AS (
+  SELECT member, idx, sqrt(-2 * ln(((z >> 32)::DOUBLE + 0.5) / 4294967296))
+         * cos(2 * pi() * ((z & 4294967295)::DOUBLE + 0.5) / 4294967296) AS a FROM bits),
+member_dots AS (
+  SELECT doc_id, member, sum(tf * a) AS dot FROM tf JOIN coefficients USING (idx) GROUP BY doc_id, member),
+dots AS (SELECT doc_id, table_id, pos, dot FROM member_dots JOIN places USING (member))
+SELECT d.doc_id, p.table_id::INTEGER AS table_id,
+       sum(CASE WHEN dot > 0 THEN 1::BIGINT << ({WIDE.chain} - 1 - pos) ELSE 0 END)::BIGINT AS bucket
+FROM words d CROSS JOIN (SELECT DISTINCT table_id FROM places) p
+LEFT JOIN dots USING (doc_id, table_id) GROUP BY d.doc_id, p.table_id"""
+
+
 # expansion order of three variables: the power of the last one varies slowest
 _CUBIC = [
     (i, j, k) for k in range(4) for j in range(4 - k) for i in range(4 - k - j) if i + j + k > 0
@@ -857,4 +1069,45 @@ title_words AS (SELECT doc_id, unnest(string_split(title, ' ')) AS word FROM tit
         + _tf_sql("title_words", "1000")
         + " SELECT doc_id AS o_orderkey, CASE WHEN year > 1997 THEN 0.0 ELSE 1.0 END::DOUBLE AS label,"
         " idx, tf FROM tf JOIN titles USING (doc_id)",
+        "documents_from_files": _TEXT + " SELECT doc_id, content FROM content",
+        "articles_from_files": f"""
+SELECT concat_ws(' ', o_orderpriority, 'Order', o_orderstatus, o_custkey) || '.' AS title,
+       year(o_orderdate)::INTEGER AS year, unnest([{", ".join(map(str, SPLIT_SIZES))}]) AS split_bytes
+FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0""",
+        "stable_keys": f"""
+SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS key, o_orderkey || '|' || o_orderpriority AS value,
+       unnest([{", ".join(map(str, SPLIT_SIZES[:2]))}]) AS split_bytes FROM orders""",
+        "split_folders": f"""WITH {_SPLIT}
+SELECT split, (count(*) OVER (PARTITION BY split, idx)) AS rows, vec_id AS key, idx::INTEGER AS idx, value
+FROM (SELECT split, vec_id, unnest(range(64)) AS idx, unnest(embedding)::DOUBLE AS value FROM split)
+QUALIFY value <> 0""",
+        "indexed_vectors": """
+SELECT * FROM (
+  SELECT (SELECT count(*) FROM embeddings) AS rows, key, (unnest(range(width)))::INTEGER AS idx,
+         unnest(embedding[:width])::DOUBLE AS value
+  FROM (SELECT *, row_number() OVER (ORDER BY vec_id % 8 DESC, vec_id) - 1 AS key, vec_id % 8 + 1 AS width
+        FROM embeddings))
+WHERE value <> 0""",
+        "histogram_lines": f"WITH {_params_sql(ANGLE)}{_DOTS},"
+        f" buckets AS (SELECT vec_id, table_id, {_bits_sql(ANGLE)} AS bucket"
+        " FROM dots GROUP BY vec_id, table_id),"
+        " counted AS (SELECT table_id, bucket, count(*) AS n FROM buckets GROUP BY ALL)"
+        " SELECT row_number() OVER (ORDER BY table_id, bucket) - 1 AS key,"
+        " concat_ws(chr(9), table_id, bucket, n) AS line FROM counted",
+        "written_rows": """
+SELECT unnest(['parquet', 'text', 'libsvm']) AS format, count(*) AS rows, count(*) AS n,
+       round(sum(l_quantity + l_discount + l_tax), 2) AS total FROM lineitem""",
+        "lsh_from_file": f"""
+WITH params AS (
+  SELECT vec_id // {FILE_CHAIN} AS table_id, vec_id % {FILE_CHAIN} AS pos, embedding::DOUBLE[] AS a
+  FROM embeddings WHERE vec_id < {FILE_CHAIN * FILE_TABLES}),
+dots AS (SELECT vec_id, table_id, pos, list_inner_product(embedding::DOUBLE[], a) AS dot
+         FROM (SELECT vec_id, embedding FROM embeddings), params)
+SELECT vec_id, table_id::INTEGER AS table_id,
+       sum(CASE WHEN dot > 0 THEN 1::BIGINT << ({FILE_CHAIN} - 1 - pos::INTEGER) ELSE 0 END)::BIGINT AS bucket
+FROM dots GROUP BY vec_id, table_id""",
+        "lsh_wide": _TEXT
+        + ", tokens_ AS (SELECT doc_id, unnest(words) AS word FROM words)"
+        + _tf_sql("tokens_", str(WIDE.dim))
+        + _wide_sql(),
     }
