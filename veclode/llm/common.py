@@ -69,12 +69,17 @@ def held_out(key: Column) -> Column:
 def with_rank(df: DataFrame, group: str, unique: str, rank: str, rows_per_task: int = 20_000):
     """Number the rows of every group from 0, however large a group is.
 
-    ``df`` must be stored and ``unique`` differ in every row. Groups are cut by the hash of
-    ``unique`` into cells of about ``rows_per_task`` rows; a row's number is the count of the
-    group's earlier cells plus its number in its own cell. Only counts are ordered by group.
+    ``df`` must be stored and ``unique`` differ in every row. Where the largest group has more
+    than ``rows_per_task`` rows, groups are cut by the hash of ``unique`` into cells of about
+    that size; a row's number is the count of the group's earlier cells plus its number in its
+    own cell. Only counts are ordered by group.
     """
     cell, group_, cell_, before_ = (fresh_name(df, f"rank_{n}") for n in "abcd")
-    cells = max(1, -(-df.count() // rows_per_task))
+    largest = df.groupBy(group).count().agg(F.max("count")).head()[0] or 0
+    cells = max(1, -(-largest // rows_per_task))
+    if cells == 1:
+        alone = F.row_number().over(Window.partitionBy(group).orderBy(unique)) - 1
+        return df.withColumn(rank, alone.cast("bigint"))
     celled = df.withColumn(cell, F.pmod(F.xxhash64(unique), F.lit(cells)))
     counts = celled.groupBy(group, cell).agg(F.count(F.lit(1)).alias(before_))
     earlier = Window.partitionBy(group).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)

@@ -5,9 +5,8 @@ window is the product of its letters' vectors, shifted by their places; the vect
 windows of a text are bundled by addition. A language's prototype bundles all its texts. A
 text goes to the language whose prototype has the greatest cosine with its own vector.
 
-Bundling is linear, so a text's products with the prototypes are sums over its windows of
-products that are worked out once per window and remembered. The length of the text's vector
-is taken from its window counts, as windows' vectors are all but orthogonal.
+A task bundles a few hundred texts at once: their window counts times the vectors of the
+windows that occur in them.
 """
 
 from __future__ import annotations
@@ -24,8 +23,8 @@ from pyspark.sql import functions as F
 from veclode.llm.common import blocks, column
 
 DIM = 2048
-# Distinct windows a task remembers products of; then it forgets them all and goes on.
-REMEMBERED = 500_000
+# Texts bundled at once, and windows whose vectors are held at once.
+TEXTS, WINDOWS = 256, 4096
 UNDETERMINED = "und"
 
 
@@ -100,6 +99,18 @@ def _unpacked(packed: np.ndarray) -> np.ndarray:
     return np.stack([packed >> 42, (packed >> 21) & mask, packed & mask], axis=1)
 
 
+def _bundled(row: np.ndarray, count: np.ndarray, at: np.ndarray, windows: np.ndarray, rows: int) -> np.ndarray:
+    """Rows x ``DIM``: for every row the sum of its windows' vectors, as often as they occur."""
+    out = np.zeros((rows, DIM))
+    own, place = np.unique(at, return_inverse=True)
+    counts = np.zeros((rows, len(own)), np.float32)
+    np.add.at(counts, (row, place), count)
+    for start in range(0, len(own), WINDOWS):
+        vectors = window_vectors(_unpacked(windows[own[start : start + WINDOWS]]))
+        out += counts[:, start : start + WINDOWS] @ vectors.astype(np.float32)
+    return out
+
+
 def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One vector per language, summed over the task's texts."""
     sums: dict[str, np.ndarray] = {}
@@ -109,13 +120,8 @@ def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names = sorted(set(langs[a:b]))
             doc, count, at, windows, _ = text_windows(texts[a:b])
             lang = np.array([names.index(x) for x in langs[a:b]])[doc]
-            counts = np.zeros((len(names), len(windows)), np.float32)
-            np.add.at(counts, (lang, at), count)
-            for start in range(0, len(windows), 4096):
-                vectors = window_vectors(_unpacked(windows[start : start + 4096]))
-                part = counts[:, start : start + 4096] @ vectors.astype(np.float32)
-                for name, vector in zip(names, part):
-                    sums[name] = sums.get(name, 0) + vector.astype(np.float64)
+            for name, vector in zip(names, _bundled(lang, count, at, windows, len(names))):
+                sums[name] = sums.get(name, 0) + vector
     yield pa.RecordBatch.from_arrays(
         [pa.array(list(sums), pa.string()), pa.array(list(sums.values()), pa.list_(pa.float64()))],
         names=["lang", "sums"],
@@ -151,37 +157,18 @@ def fit_prototypes(docs: DataFrame, text: str = "text", lang: str = "lang") -> P
     return Prototypes(tuple(r["lang"] for r in sums), vectors / np.where(norms > 0, norms, 1))
 
 
-class _Judge:
-    """Cosines with the prototypes, remembering every window's products."""
-
-    def __init__(self, prototypes: Prototypes):
-        self.vectors = prototypes.vectors.T.astype(np.float32)
-        self.forget()
-
-    def forget(self) -> None:
-        self.place: dict[int, int] = {}
-        self.products = np.zeros((0, self.vectors.shape[1]), np.float32)
-
-    def _learn(self, windows: np.ndarray) -> None:
-        if len(self.place) + len(windows) > REMEMBERED:
-            self.forget()
-        new = [w for w in windows.tolist() if w not in self.place]
-        for a in range(0, len(new), 4096):
-            part = window_vectors(_unpacked(np.array(new[a : a + 4096], np.int64)))
-            self.place.update(zip(new[a : a + 4096], range(len(self.place), len(self.place) + len(part))))
-            self.products = np.concatenate([self.products, part.astype(np.float32) @ self.vectors])
-
-    def cosines(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        doc, count, at, windows, has = text_windows(texts)
-        out = np.zeros((len(texts), self.vectors.shape[1]))
-        if len(doc):
-            self._learn(windows)
-            rows = np.array([self.place[w] for w in windows.tolist()])[at]
-            first = np.flatnonzero(np.diff(doc, prepend=-1))
-            sums = np.add.reduceat(self.products[rows] * count[:, None], first, axis=0)
-            norm = np.sqrt(DIM * np.add.reduceat(count.astype(float) ** 2, first))
-            out[doc[first]] = sums / norm[:, None]
-        return out, has
+def cosines(texts: list[str | None], vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts x languages: cosines of the texts' own vectors with the prototypes (of length 1);
+    and which texts have a letter. A text without windows has cosines of 0."""
+    doc, count, at, windows, has = text_windows(texts)
+    out = np.zeros((len(texts), len(vectors)))
+    for start in range(0, len(texts), TEXTS):
+        rows = min(TEXTS, len(texts) - start)
+        a, b = np.searchsorted(doc, [start, start + rows])
+        own = _bundled(doc[a:b] - start, count[a:b], at[a:b], windows, rows)
+        norms = np.sqrt((own * own).sum(axis=1, keepdims=True))
+        out[start : start + rows] = own @ vectors.T / np.where(norms > 0, norms, 1)
+    return out, has
 
 
 def predict_language(text: Column, prototypes: Prototypes) -> Column:
@@ -192,12 +179,11 @@ def predict_language(text: Column, prototypes: Prototypes) -> Column:
 
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        judge = _Judge(prototypes)
         for batch in batches:
             texts, found = batch.to_pylist(), []
             for a, b in blocks(texts):
-                cosines, has = judge.cosines(texts[a:b])
-                for row, ok in zip(cosines, has.tolist()):
+                near, has = cosines(texts[a:b], prototypes.vectors)
+                for row, ok in zip(near, has.tolist()):
                     if ok and len(row):
                         best = int(row.argmax())
                         score = float(min(max(row[best], 0.0), 1.0))

@@ -229,8 +229,9 @@ def fit_rules(
     """Learn the list from at most ``max_rows`` labelled documents (label 0: bad).
 
     The rows are those whose keys have the lowest hashes; rows without key or label are left
-    out, a key labelled twice counts as bad if any label says so. Only counts of the sample
-    reach the driver.
+    out, a key labelled twice counts as bad if any label says so, and of documents with the
+    same key the one with the least counts stands for it. Only counts of the sample reach the
+    driver, one row for each chosen key.
     """
     k, y = column(labels, key), column(labels, label)
     chosen = (
@@ -243,8 +244,9 @@ def fit_rules(
     own = docs.select(column(docs, key).alias("key"), column(docs, text).alias("text"))
     rows = (
         own.join(F.broadcast(chosen), F.col("key") == F.col("label_key"))
-        .select("label", quality_stats(F.col("text")).alias("stats"))
-        .limit(2 * max_rows)
+        .select("key", "label", quality_stats(F.col("text")).alias("stats"))
+        .groupBy("key")
+        .agg(F.min("label").alias("label"), F.min("stats").alias("stats"))
     )
     found = rows.select("label", *[c.alias(n) for n, c in features(F.col("stats")).items()])
     table = found.toArrow()

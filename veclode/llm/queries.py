@@ -25,9 +25,11 @@ URL_RULES = [
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 ]
-# Pages on hosts that name one of these are listed; the filter then finds the same pages under
-# other schemes, host prefixes and query strings.
+# Listed are pages on hosts that name one of these, and pages of so little html (characters) that
+# they say nothing, whatever their host; the filter then finds the same pages under other
+# schemes, host prefixes, query strings and with other contents.
 SPAM_WORDS = ("casino", "pills", "poker", "replica")
+THIN_PAGE = 1500
 
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 
@@ -55,11 +57,11 @@ def op1_decontamination(spark, sf_dir):
 
 
 def op2_url_filter(spark, sf_dir):
-    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    pages = _table(spark, sf_dir, "pages")
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     host = F.lower(F.regexp_extract("url", "://([^/?#]*)", 1))
-    listed = pages.where(host.rlike("|".join(SPAM_WORDS))).select("url")
-    judged = filter_urls(pages, rules, listed)
+    bad = host.rlike("|".join(SPAM_WORDS)) | (F.length("html") < THIN_PAGE)
+    judged = filter_urls(pages.select("page_id", "url"), rules, pages.where(bad).select("url"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
@@ -224,10 +226,10 @@ FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)"""
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 _URL_FILTER = rf"""
 WITH rests AS (
-  SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') > 0
+  SELECT page_id, html, CASE WHEN instr(coalesce(url, ''), '://') > 0
                        THEN url[instr(url, '://') + 3:] ELSE '' END AS rest FROM pages),
 parts AS (
-  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), {_FOLD}) AS host,
+  SELECT page_id, html, translate(regexp_extract(rest, '^[^/?#]*'), {_FOLD}) AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests),
 canonical AS (
   SELECT *, regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '/+$', '') AS url FROM parts),
@@ -238,7 +240,9 @@ fitting AS (
          first(verdict ORDER BY length(rule_host || rule_path) DESC) OVER (PARTITION BY host, path) AS said
   FROM (SELECT DISTINCT host, path FROM parts) JOIN rules
     ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)),
-listed AS (SELECT DISTINCT url FROM canonical WHERE regexp_matches(host, '{"|".join(SPAM_WORDS)}'))
+listed AS (
+  SELECT DISTINCT url FROM canonical
+  WHERE host <> '' AND (regexp_matches(host, '{"|".join(SPAM_WORDS)}') OR length(html) < {THIN_PAGE}))
 SELECT page_id, host, path, rule,
        coalesce(said, CASE WHEN url IN (SELECT url FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
 FROM canonical LEFT JOIN fitting USING (host, path)"""

@@ -72,7 +72,9 @@ def shard(
 
     Numbers of rows differ by one at most between shards; ``slot`` counts from 0 without
     gaps. A null text is an empty one; a null key is a key of its own; repeated rows are
-    placed one by one. An empty table gives an empty table.
+    placed one by one. An empty table gives an empty table. Equal texts may lie in different
+    shards: with counts at most one apart, a text that fills more than a shard's share cannot
+    lie in one.
     """
     text_ = F.coalesce(column(docs, text).cast("string"), F.lit(""))
     own = docs.select(

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veclode.llm.common import blocks, column, raw_bytes, stored
+from veclode.llm.common import blocks, column, fresh_name, raw_bytes, stored
 
 ROLLED = 16  # bytes the rolling hash looks back on
 MEAN = 24  # bytes between chunk ends, on average
@@ -224,19 +224,29 @@ def repeated_passages(
 
 
 def drop_passages(docs: DataFrame, passages: DataFrame, key: str = "doc_id", text: str = "text"):
-    """``docs`` without the stretches in ``dropped``; all other rows as they are."""
+    """``docs`` without the stretches in ``dropped``; all other rows as they are.
+
+    Rows of one key must have one text: stretches are told by the key, so where a key has
+    several texts its rows stay whole.
+    """
+    key_, span_, spans_, texts_ = (fresh_name(docs, n) for n in ("key_", "span_", "spans_", "texts_"))
     spans = (
         passages.where("NOT kept")
-        .select(column(passages, key).alias("key_"), F.explode("dropped").alias("span_"))
-        .groupBy("key_")
-        .agg(F.array_sort(F.collect_set("span_")).alias("spans_"))
+        .select(column(passages, key).alias(key_), F.explode("dropped").alias(span_))
+        .groupBy(key_)
+        .agg(F.array_sort(F.collect_set(span_)).alias(spans_))
     )
-    joined = docs.join(spans, column(docs, key) == F.col("key_"), "left")
     whole = column(docs, text)
+    # keys with one text; a text's digest is enough to tell
+    digest = F.md5(F.coalesce(whole.cast("string"), F.lit("")))
+    named = docs.select(column(docs, key).alias(key_), digest.alias(texts_))
+    single = named.groupBy(key_).agg(F.min(texts_).alias("a"), F.max(texts_).alias("b")).where("a = b")
+    spans = spans.join(single.select(key_), key_, "left_semi")
+    joined = docs.join(spans, column(docs, key) == F.col(key_), "left")
     # every piece between two removed passages, then the end
     start = F.struct(F.lit("").alias("kept"), F.lit(0).cast("bigint").alias("upto"))
     shorter = F.aggregate(
-        "spans_",
+        spans_,
         start,
         lambda acc, x: F.struct(
             F.concat(
@@ -247,6 +257,5 @@ def drop_passages(docs: DataFrame, passages: DataFrame, key: str = "doc_id", tex
         ),
         lambda acc: F.concat(acc.kept, F.substring(whole, (acc.upto + 1).cast("int"), F.length(whole))),
     )
-    return joined.withColumn(text, F.when(F.col("spans_").isNull(), whole).otherwise(shorter)).drop(
-        "key_", "spans_"
-    )
+    short = F.when(F.col(spans_).isNull(), whole).otherwise(shorter)
+    return joined.withColumn(text, short).drop(key_, spans_)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veclode.llm.common import column, fresh_name
+from veclode.llm.common import column, fresh_name, stored
 
 # A block is four 64-bit words, with one bit of a key in each; 12 bits for each listed key.
 WORDS = 4
@@ -105,7 +105,7 @@ def filter_urls(
     are allowed. A null url, or one without ``://``, has an empty host and path, fits nothing
     and is allowed. New columns whose names are taken get a trailing underscore.
     """
-    entries = _listed(rules, listed)
+    entries = stored(_listed(rules, listed))
     sizes = rules.select(F.length(F.coalesce("path", F.lit(""))).alias("n")).distinct()
     lengths = sorted(r["n"] for r in sizes.collect())  # no more than a path has characters
     blocks = max(1, min(MAX_BLOCKS, -(-entries.count() * BITS_PER_KEY // (64 * WORDS))))
