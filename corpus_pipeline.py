@@ -7,8 +7,6 @@ rows with equal ids are judged like all others. Every stage but the last keeps t
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +16,7 @@ from veclode.llm.decontamination import decontaminate, is_contaminated
 from veclode.llm.jaccard_join import jaccard_components
 from veclode.llm.packing import pack
 from veclode.llm.queries import tokenizer_path
-from veclode.session import ensure_checkpoint_dir
+from veclode.session import cut_lineage, release
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,15 +31,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows with the same id and text are one document. A text without words, null or not, is
     similar to no other; a missing id counts as the least.
     """
-    key, many = fresh_name(docs, "key_"), fresh_name(docs, "many_")
+    key, many, own = (fresh_name(docs, n) for n in ("key_", "many_", "kept_"))
     named = docs.withColumn(key, F.struct("doc_id", F.md5("text").alias("digest")))
     found = jaccard_components(named, key=key)
     kept = found.where(F.col(key).eqNullSafe(F.col("component_id")))
-    kept = kept.groupBy(F.col(key).alias("kept_")).agg(F.count(F.lit(1)).alias(many))
-    same = F.col(f"{key}.doc_id").eqNullSafe(F.col("kept_.doc_id"))
-    same &= F.col(f"{key}.digest").eqNullSafe(F.col("kept_.digest"))
+    kept = kept.groupBy(F.col(key).alias(own)).agg(F.count(F.lit(1)).alias(many))
+    same = F.col(f"{key}.doc_id").eqNullSafe(F.col(f"{own}.doc_id"))
+    same &= F.col(f"{key}.digest").eqNullSafe(F.col(f"{own}.digest"))
     # every row has its copies counted; the few with copies are thinned out
-    joined = named.join(kept, same).drop("kept_")
+    joined = named.join(kept, same).drop(own)
     once = joined.where(F.col(many) == 1).select(docs.columns)
     if kept.where(F.col(many) > 1).isEmpty():
         return once
@@ -49,7 +47,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents not contaminated by passages of the benchmark."""
+    """Documents not contaminated by passages of the benchmark. A null or empty text is not
+    contaminated and stays; rows of equal texts go or stay together; an empty table, or an
+    empty benchmark, changes nothing."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     key = fresh_name(docs, "digest_")
     named = docs.withColumn(key, F.md5("text"))
@@ -69,7 +69,8 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 4096 tokens."""
+    """The pieces of all documents in sequences of 4096 tokens. A null or empty text is one
+    piece of one token; repeated rows are packed one by one; no documents give no pieces."""
     return pack(docs, tokenizer_path())
 
 
@@ -86,10 +87,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table ``documents``, each written as Parquet and read again."""
-    folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4()}"
+    """All stages over the table ``documents``, each written as Parquet and read again.
+
+    A stage's table is removed when the next one is written; the last one's lives as long as
+    the result."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
-        docs = spark.read.parquet(f"{folder}/{i}")
+    for _, stage in STAGES:
+        before, docs = docs, cut_lineage(stage(spark, docs, sf_dir))
+        release(before)
     return docs
