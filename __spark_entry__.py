@@ -55,6 +55,7 @@ from veclode.operators.tfidf import (  # noqa: E402
     to_long,
 )
 from veclode.operators.vocabulary import keep_vocab, top_fraction_vocab, word_count  # noqa: E402
+from veclode.plans import jobs  # noqa: E402
 from veclode.plans.jobs import text_tfidf, title_points  # noqa: E402
 from veclode.session import cut_lineage, ensure_checkpoint_dir, spread_small  # noqa: E402
 from veclode.sources.bibliography import article_fields, read_articles  # noqa: E402
@@ -68,7 +69,9 @@ from veclode.sources.tables import keyed_fields, labeled_fields  # noqa: E402
 try:
     import corpus_pipeline
     from veclode.llm import queries as llm
-except ImportError:  # the subpackage is optional
+except ModuleNotFoundError as missing:  # the subpackage is optional, what it needs is not
+    if missing.name not in ("corpus_pipeline", "veclode.llm"):
+        raise
     llm = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -659,6 +662,115 @@ def lsh_wide(spark, sf_dir):
     return lsh_rows(lsh_index(counted, WIDE), "doc_id")
 
 
+# --- whole jobs, from files to files ------------------------------------------------
+
+
+def _text_file(rows: DataFrame, line: Column, name: str, *order: str) -> str:
+    """Lines written to a folder of their own, in the order given, as one file if there is one."""
+    folder = _folder(rows.sparkSession, name)
+    sinks.write_lines(rows.orderBy(*order).coalesce(1) if order else rows, line, folder)
+    return folder
+
+
+def job_mail_vectors(spark, sf_dir):
+    """Documents as mail files; numbered TF-IDF vectors in the order of the files' names."""
+    name = F.lpad(F.col("doc_id").cast("string"), 12, "0")
+    folder, out = _folder(spark, "mail"), _folder(spark, "mail_vectors")
+    write_files(_table(spark, sf_dir, "documents").select(name.alias("name"), "text"), folder, "name", "text")
+    jobs.mail_vectors(spark, folder, out, fmt="text")
+    rows = read_sparse_vectors(spark, out).withColumnRenamed("vector", "features")
+    return _entries(rows, "key", value="weight").withColumn("weight", F.round("weight", 6))
+
+
+def job_hash_vectors(spark, sf_dir):
+    """Keyed vectors as text; their buckets and the histogram, both as lines."""
+    vector = V.format_sparse(V.dense_to_sparse(F.col("features")), F.col("vec_id"))
+    folder, out = _text_file(_embeddings(spark, sf_dir), vector, "keyed"), _folder(spark, "hashed")
+    jobs.hash_vectors(spark, folder, out, ANGLE, fmt="text")
+    hashed = spark.read.text(out).select(
+        F.lit("vector").alias("kind"),
+        F.regexp_extract("value", r"^\(\((\d+),", 1).alias("name"),
+        F.regexp_extract("value", r"\),([-\d,]+)\)$", 1).alias("found"),
+    )
+    counted = spark.read.text(f"{out}_histogram").select(
+        F.lit("histogram").alias("kind"),
+        F.substring_index("value", "\t", 2).alias("name"),
+        F.substring_index("value", "\t", -1).alias("found"),
+    )
+    return hashed.unionByName(counted)
+
+
+def _points_of(spark: SparkSession, folder: str, value: str) -> DataFrame:
+    return _entries(read_labeled_points(spark, folder), "label", value=value).withColumn(
+        value, F.round(value, 6)
+    )
+
+
+def job_bibliography_points(spark, sf_dir):
+    """Bibliography files; labelled title words."""
+    orders = _table(spark, sf_dir, "orders")
+    folder, out = _text_file(orders, _bibliography(F.year("o_orderdate")), "records"), _folder(spark, "titles")
+    jobs.bibliography_points(spark, folder, out, 1000, fmt="text")
+    return _points_of(spark, out, "tf")
+
+
+def job_libsvm_points(spark, sf_dir):
+    """LibSVM lines; the two best features by chi-square."""
+    folder, out = _folder(spark, "categories"), _folder(spark, "selected")
+    sinks.write_labeled_points(_categories(spark, sf_dir).select("label", "features"), folder, "libsvm")
+    jobs.libsvm_points(spark, folder, out, select=2, num_features=5, fmt="text")
+    return _points_of(spark, out, "value")
+
+
+def job_csv_points(spark, sf_dir):
+    """Label-first lines; labelled points."""
+    line = F.concat_ws(",", "l_linenumber", "l_quantity", "l_discount", "l_tax")
+    folder, out = _text_file(_table(spark, sf_dir, "lineitem"), line, "csv"), _folder(spark, "points")
+    jobs.csv_points(spark, folder, out, fmt="text")
+    return _points_of(spark, out, "value")
+
+
+def job_linkage_points(spark, sf_dir):
+    """Label-last lines with gaps; points expanded at once, and saved first and expanded then."""
+    folder = _text_file(_table(spark, sf_dir, "lineitem"), _gappy_line(), "linkage")
+    once, saved, then = (_folder(spark, name) for name in ("cubic", "plain", "cubic_later"))
+    jobs.linkage_points(spark, folder, once, fmt="text")
+    jobs.linkage_points(spark, folder, saved, degree=1, fmt="text")
+    jobs.expand_points(spark, saved, then, fmt="text")
+    both = [(once, "at once"), (then, "later")]
+    return reduce(
+        DataFrame.unionByName,
+        [_points_of(spark, f, "term").withColumn("expanded", F.lit(name)) for f, name in both],
+    )
+
+
+def _split_rows(spark: SparkSession, out: str) -> DataFrame:
+    found = [
+        read_sparse_vectors(spark, f"{out}_{split}").withColumn("split", F.lit(split))
+        for split in ("training", "test")
+    ]
+    both = reduce(DataFrame.unionByName, found).withColumnRenamed("vector", "features")
+    return _entries(both, "split", "key")
+
+
+def job_variance_vectors(spark, sf_dir):
+    """Label-first lines of two sets; the dimensions that vary most in the first, of both."""
+    vectors, out = _embeddings(spark, sf_dir), _folder(spark, "variance")
+    line = F.concat_ws(",", F.lit("0"), F.array_join(F.col("features").cast("array<string>"), ","))
+    test = F.col("vec_id") % 10 == 0
+    folders = [_text_file(vectors.filter(rows), line, "dense", "vec_id") for rows in (~test, test)]
+    jobs.variance_vectors(spark, *folders, out, k=10, fmt="text")
+    return _split_rows(spark, out)
+
+
+def job_split_vectors(spark, sf_dir):
+    """Key-first lines; an exact split into training and test vectors."""
+    line = F.concat_ws(" ", "vec_id", F.array_join(F.col("features").cast("array<string>"), " "))
+    folder, out = _text_file(_embeddings(spark, sf_dir), line, "keyed_lines"), _folder(spark, "split_job")
+    jobs.split_vectors(spark, folder, out, 50, SPLIT_SEED, fmt="text")
+    return _split_rows(spark, out)
+
+
 # --- contract -----------------------------------------------------------------------
 
 
@@ -730,6 +842,14 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "written_rows": written_rows,
         "lsh_from_file": lsh_from_file,
         "lsh_wide": lsh_wide,
+        "job_mail_vectors": job_mail_vectors,
+        "job_hash_vectors": job_hash_vectors,
+        "job_bibliography_points": job_bibliography_points,
+        "job_libsvm_points": job_libsvm_points,
+        "job_csv_points": job_csv_points,
+        "job_linkage_points": job_linkage_points,
+        "job_variance_vectors": job_variance_vectors,
+        "job_split_vectors": job_split_vectors,
     }
 
 
@@ -1110,4 +1230,45 @@ FROM dots GROUP BY vec_id, table_id""",
         + ", tokens_ AS (SELECT doc_id, unnest(words) AS word FROM words)"
         + _tf_sql("tokens_", str(WIDE.dim))
         + _wide_sql(),
+        "job_mail_vectors": _PRUNED
+        + _WEIGHTS
+        + " SELECT key, idx, weight FROM weights JOIN"
+        " (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS key"
+        "  FROM (SELECT DISTINCT doc_id FROM tf)) USING (doc_id)",
+        "job_hash_vectors": f"WITH {_params_sql(ANGLE)}{_DOTS},"
+        f" buckets AS (SELECT vec_id, table_id, {_bits_sql(ANGLE)} AS bucket"
+        " FROM dots GROUP BY vec_id, table_id)"
+        " SELECT 'vector' AS kind, vec_id::VARCHAR AS name,"
+        " string_agg(bucket::VARCHAR, ',' ORDER BY table_id) AS found FROM buckets GROUP BY vec_id"
+        " UNION ALL SELECT 'histogram', concat_ws(chr(9), table_id, bucket), count(*)::VARCHAR"
+        " FROM buckets GROUP BY table_id, bucket",
+        "job_bibliography_points": """
+WITH titles AS (SELECT o_orderkey AS doc_id, year(o_orderdate) AS year,
+  lower(concat_ws(' ', o_orderpriority, 'Order', o_orderstatus, o_custkey)) AS title FROM orders
+  WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0),
+title_words AS (SELECT doc_id, unnest(string_split(title, ' ')) AS word FROM titles)"""
+        + _tf_sql("title_words", "1000")
+        + " SELECT CASE WHEN year > 2007 THEN 0.0 ELSE 1.0 END::DOUBLE AS label,"
+        " idx, tf FROM tf JOIN titles USING (doc_id)",
+        "job_libsvm_points": _CHISQ
+        + """,
+chosen AS (SELECT idx, (row_number() OVER (ORDER BY idx) - 1)::INTEGER AS place
+           FROM (SELECT idx FROM test ORDER BY round(chi2, 9) DESC, idx LIMIT 2))
+SELECT label, place AS idx, value FROM long JOIN chosen USING (idx) WHERE value <> 0""",
+        "job_csv_points": f"WITH {_ITEMS} SELECT l_linenumber::DOUBLE AS label, idx, value"
+        " FROM entries WHERE value <> 0",
+        "job_linkage_points": f"""WITH points AS ({gappy}),
+terms AS (SELECT label, unnest(range({len(_CUBIC)}))::INTEGER AS idx, unnest([{cubic}]) AS term FROM points)
+SELECT label, idx, round(term, 6) AS term, unnest(['at once', 'later']) AS expanded
+FROM terms WHERE term <> 0""",
+        "job_variance_vectors": f"""
+WITH training AS (SELECT * FROM embeddings WHERE vec_id % 10 <> 0), {_variance_sql('training')},
+keyed AS (SELECT *, CASE WHEN vec_id % 10 = 0 THEN 'test' ELSE 'training' END AS split,
+                 row_number() OVER (ORDER BY vec_id % 10 = 0, vec_id) - 1 AS key FROM embeddings)
+SELECT split, key, pos AS idx, embedding[dim + 1]::DOUBLE AS value FROM keyed, placed
+WHERE embedding[dim + 1] <> 0""",
+        "job_split_vectors": f"""WITH {_SPLIT}
+SELECT split, vec_id AS key, idx, value FROM (
+  SELECT split, vec_id, unnest(range(64))::INTEGER AS idx, unnest(embedding)::DOUBLE AS value FROM split)
+WHERE value <> 0""",
     }
