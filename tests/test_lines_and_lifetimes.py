@@ -4,6 +4,7 @@ import time
 
 import numpy as np
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -171,7 +172,7 @@ def test_tables_go_when_nothing_reads_them(spark):
     session.release(table)
     session.release(table)
     assert kept_folders(spark) - before == set()
-    with pytest.raises(PySparkException):
+    with pytest.raises((PySparkException, Py4JJavaError), match="FILE_NOT_EXIST"):
         table.collect()
 
 

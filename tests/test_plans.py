@@ -19,7 +19,7 @@ def test_no_cross_joins_and_no_row_wise_python(spark, name):
     text = plan(spark, name)
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "MapInPandas"):
         assert operator not in text
-    by_the_batch = name.startswith("lsh_") or name in ("hashing_tf", "title_points")
+    by_the_batch = name.startswith("lsh_") or name in ("hashing_tf", "title_points", "poly3")
     assert ("ArrowEvalPython" in text) == by_the_batch
 
 
