@@ -12,6 +12,7 @@ import __spark_entry__ as entry
 from veclode import session, sinks
 from veclode.functions.vectors import dense_to_sparse
 from veclode.operators.lsh import generated_params, lsh_index
+from veclode.plans import jobs
 from veclode.sources.lines import numbered_lines
 from veclode.sources.lsh_files import read_lsh_params
 
@@ -46,6 +47,34 @@ def test_keys_do_not_depend_on_splits(spark, write, tmp_path, conf, split, batch
     assert [(os.path.basename(r["file"]), r["line"], r["value"]) for r in rows] == expected
 
 
+def test_a_cluster_needs_a_shared_folder():
+    assert session.checkpoints_below("file:/w", "local[4]") == "file:/w/checkpoints"
+    assert session.checkpoints_below("hdfs://n/w", "yarn") == "hdfs://n/w/checkpoints"
+    for warehouse in ("file:/w", "/w"):
+        for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+            with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+                session.checkpoints_below(warehouse, master)
+
+
+def test_job_keys_do_not_depend_on_splits(spark, write, tmp_path, conf):
+    train = write("train/a", "".join(f"{i % 2},{i}.0,{i % 3}.0\n" for i in range(200)))
+    test = write("test/a", "".join(f"1,{i}.5,0.5\n" for i in range(40)))
+    bare = write("bare/a", "".join(f"(2,[0],[{i}.5])\n" for i in range(100)))
+    params = generated_params("angle", 2, family_size=2, tables=1, chain=2, seed=3)
+    found = []
+    for size in (150, 1 << 27):
+        conf("spark.sql.files.maxPartitionBytes", str(size))
+        conf("spark.sql.files.openCostInBytes", "1")
+        rows = jobs.variance_vectors(spark, train, test, str(tmp_path / f"v{size}"), 2).collect()
+        keyed = sorted((r["key"], r["split"], r["features"]["values"]) for r in rows)
+        hashed = jobs.hash_vectors(spark, bare, str(tmp_path / f"h{size}"), params).collect()
+        found.append((keyed, sorted((r["id"], r["features"]["values"]) for r in hashed)))
+    assert found[0] == found[1]
+    keyed, hashed = found[0]
+    assert [k for k, _, _ in keyed] == list(range(240)) and keyed[7][2] == [7.0, 1.0] and keyed[200][2] == [0.5, 0.5]
+    assert hashed[0] == (-100, [99.5]) and hashed[-1] == (-1, [0.5])
+
+
 def test_no_lines(spark, write, tmp_path):
     write("t/empty", "")
     assert numbered_lines(spark, str(tmp_path / "t")).collect() == []

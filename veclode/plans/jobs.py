@@ -16,7 +16,6 @@ from ..operators.chisq import chi_square_select
 from ..operators.dimensions import TopVarianceSelector
 from ..operators.lsh import LshParams, lsh_histogram, lsh_index
 from ..operators.polynomial import polynomial
-from ..operators.ranking import with_row_index
 from ..operators.split import exact_split
 from ..operators.tfidf import hashing_tf, tfidf_l2
 from ..operators.vocabulary import keep_vocab, top_fraction_vocab, word_count
@@ -57,10 +56,11 @@ def hash_vectors(
 ) -> DataFrame:
     """Sparse vectors -> buckets in every table (``out``) and bucket sizes (``out_histogram``).
 
-    Vectors without a key of their own get distinct negative numbers; keys count from 0.
+    Vectors without a key of their own get the negative of their line's number, from -1; it is
+    the same on every run. Keys count from 0.
     """
-    vectors = read_sparse_vectors(spark, path).select(
-        F.coalesce("key", -1 - F.monotonically_increasing_id()).alias("id"),
+    vectors = read_sparse_vectors(spark, path, numbered=True).select(
+        F.coalesce("key", -1 - F.col("line_key")).alias("id"),
         F.col("vector").alias("features"),
     )
     indexed = lsh_index(vectors, params, **options)
@@ -160,17 +160,15 @@ def variance_vectors(
 ) -> DataFrame:
     """Two label-first CSVs -> sparse vectors of the k dimensions that vary most in training.
 
-    Keys count on through the training rows, then the test rows.
+    Keys count on through the lines of the training files, then of the test files, in order of
+    the files' names; they are the same on every run.
     """
-    train = read_labeled_csv(spark, training).withColumn("split", F.lit("training"))
-    rest = read_labeled_csv(spark, test).withColumn("split", F.lit("test"))
+    train = read_labeled_csv(spark, training, numbered=True).withColumn("split", F.lit("training"))
+    rest = read_labeled_csv(spark, test, numbered=True).withColumn("split", F.lit("test"))
+    after = train.count()
+    rest = rest.withColumn("key", F.col("key") + after)
     both = TopVarianceSelector(k).fit(train).transform(train.unionByName(rest))
-    sparse = both.withColumn("features", dense_to_sparse(F.col("features")))
-    placed = sparse.withColumn("_part", (F.col("split") == "test").cast("int")).withColumn(
-        "_read", F.monotonically_increasing_id()
-    )
-    keyed = with_row_index(placed, [("_part", "asc"), ("_read", "asc")], "key")
-    keyed = keyed.drop("_part", "_read")
+    keyed = both.withColumn("features", dense_to_sparse(F.col("features")))
     sinks.write_split(keyed, out, fmt)
     return keyed
 

@@ -17,16 +17,24 @@ from pyspark.sql.types import BinaryType, StringType
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder checkpoints go to. Where ``spark.checkpoint.dir`` is unset it is one below
-    the warehouse, which a cluster's executors share."""
+    the warehouse; on a cluster that must not be a folder of one machine."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
+            folder = checkpoints_below(spark.conf.get("spark.sql.warehouse.dir"), sc.master)
         sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
+def checkpoints_below(warehouse: str, master: str) -> str:
+    one_machine = master == "local" or master.startswith("local[")
+    scheme = warehouse.partition(":")[0] if ":" in warehouse else "file"
+    if scheme == "file" and not one_machine:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse}/checkpoints"
+
+
 _scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 # Kept tables: folder -> (application, weak reference to what every plan that reads it holds).
 _tables: dict[str, tuple[str, JavaObject]] = {}
