@@ -19,7 +19,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Coordinates taken together inside a task.
 BLOCK = 1 << 21
-# Partial moments are merged in this many tasks before they meet in one.
+# Partial moments are merged in this many tasks at most before they meet in one.
 MERGERS = 32
 MOMENTS = "n array<bigint>, base array<double>, rest array<double>, m2 array<double>"
 
@@ -132,7 +132,9 @@ def dim_stats(df: DataFrame, features: str = "features") -> DataFrame:
         yield pa.RecordBatch.from_arrays(columns, names=["dim", "mean", "var"])
 
     parts = df.select(F.col(features).cast("array<double>")).mapInArrow(_moments, MOMENTS)
-    fewer = parts.repartition(MERGERS).mapInArrow(merge, MOMENTS)
+    # few and small parts come together in one task; adaptive execution sees to that
+    group = F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("group")
+    fewer = parts.select("*", group).repartition("group").drop("group").mapInArrow(merge, MOMENTS)
     return fewer.repartition(1).mapInArrow(finish, "dim int, mean double, var double")
 
 
