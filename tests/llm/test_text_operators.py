@@ -282,6 +282,21 @@ def test_toxicity_on_rows_held_out(spark):
     assert {r[0] for r in docs.select(toxicity.toxicity_score(F.col("text"), None)).collect()} == {0.0}
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark):
+    docs, labels = toxic_tables(spark)
+    net = toxicity.fit_network(docs, labels, max_rows=100)
+    again = toxicity.fit_network(docs.repartition(7, "text"), labels, max_rows=100)
+    assert np.array_equal(net.embed, again.embed) and net.shift == again.shift
+    score = toxicity.toxicity_score(F.col("text"), net).alias("score")
+    rows = docs.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("h"), score).collect()
+    right = [(r["score"] >= 0.3) == (r["doc_id"] % 5 == 0) for r in rows if r["h"]]
+    assert len(right) > 100 and np.mean(right) > 0.95
+    # 100 rows hold at most 20 of the 30 toxic words
+    known, every = toxicity._Buckets(), toxicity.fit_network(docs, labels, max_rows=100, min_texts=1)
+    assert sum(every.embed[known[b"vile%d" % i] >> toxicity.SHIFT].any() for i in range(30)) > 24
+    assert toxicity.fit_network(docs, labels.where("toxic = 0"), max_rows=100) is None
+
+
 def test_tables_equal_convolutions():
     rng = np.random.default_rng(1)
     rows = [rng.integers(0, 1 << 30, n).astype(np.int32) for n in (0, 1, 2, 3, 9)]
