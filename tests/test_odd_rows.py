@@ -15,7 +15,8 @@ from veclode.operators.polynomial import polynomial
 from veclode.operators.tfidf import apply_idf, fit_idf, hashing_tf
 from veclode.operators.vocabulary import Vocabulary, keep_vocab
 from veclode.plans import jobs
-from veclode.session import ensure_checkpoint_dir, scratch_tables
+from veclode.session import cut_lineage, ensure_checkpoint_dir, scratch_tables
+from veclode.sources import bibliography
 from veclode.sources.bibliography import read_articles
 from veclode.sources.documents import read_documents
 from veclode.sources.lsh_files import read_lsh_params
@@ -204,3 +205,20 @@ def test_articles_do_not_depend_on_splits(spark, write):
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
+
+
+def test_small_splits_of_a_bibliography_do_not_cost_a_task_each(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "bibliography")
+    record = F.concat(F.lit("<article key='"), F.col("id"), F.lit("'><title>T</title><year>1999</year></article>"))
+    spark.range(2000).coalesce(1).select(record.alias("value")).write.text(folder)
+    written = []
+    monkeypatch.setattr(bibliography, "cut_lineage", lambda df: written.append(df.rdd.getNumPartitions()) or cut_lineage(df))
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "1000")
+    try:
+        assert spark.read.text(folder).rdd.getNumPartitions() > 100
+        assert read_articles(spark, folder).count() == 2000
+    finally:
+        spark.conf.set(size, before)
+    assert written and max(written) <= 2 * spark.sparkContext.defaultParallelism

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import between_tags, last_record
-from ..session import cut_lineage
+from ..session import cut_lineage, few_tasks
 
 # Executors get these functions with the job; they need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -109,7 +109,7 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
     one that is followed by another record's tag, or by the end of the file, before it
     closes is left out. Articles cut by the end of a split are put together from a small
     row or two per split, so the result does not depend on the splits, and a run of other
-    records is never held. The lines are read once, into a table of titles and years.
+    records is never held. A task takes several splits where they are small. The lines are read once, into a table of titles and years.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -119,8 +119,9 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
     fields = F.when(F.col("kind") == WHOLE, article_fields(F.col("text"))).alias("r")
     cut = F.when(F.col("kind") != WHOLE, F.col("text")).alias("text")
     pieces = cut_lineage(
-        lines.mapInArrow(_pieces, PIECES).select("file", "start", "kind", fields, cut)
+        few_tasks(lines).mapInArrow(_pieces, PIECES).select("file", "start", "kind", fields, cut)
     )
+    pieces = few_tasks(pieces)
 
     # pieces from one tail up to the next tail or break; of them, those up to the first head
     upto = Window.partitionBy("file").orderBy("start", "kind")
