@@ -1,4 +1,5 @@
 import math
+import os
 import random
 
 import numpy as np
@@ -94,3 +95,17 @@ def test_split_vectors(spark, write, tmp_path):
     jobs.split_vectors(spark, path, str(tmp_path / "o"), n=50, seed=1, fmt="text")
     test, training = lines(tmp_path / "o_test"), lines(tmp_path / "o_training")
     assert len(test) == 50 and len(training) == 30 and not set(test) & set(training)
+
+
+def test_expanded_points_compressed(spark, write, tmp_path):
+    lines = "".join(f"{i},2,0.{i % 9}1,?,1,?,1,{i % 5},1,1,0,{'TRUE' if i % 3 else 'FALSE'}\n" for i in range(500))
+    path, found, sizes = write("links.csv", lines), [], []
+    for codec in ("none", "gzip"):
+        once, saved, then = (str(tmp_path / f"{name}_{codec}") for name in ("once", "saved", "then"))
+        jobs.linkage_points(spark, path, once, fmt="text", compression=codec)
+        jobs.linkage_points(spark, path, saved, degree=1, fmt="text", compression=codec)
+        jobs.expand_points(spark, saved, then, fmt="text", compression=codec)
+        found += [sorted(r["value"] for r in spark.read.text(folder).collect()) for folder in (once, then)]
+        sizes.append(sum(f.stat().st_size for folder in (once, then) for f in tmp_path.glob(f"{os.path.basename(folder)}/part-*")))
+    assert len(found[0]) == 500 and found[0] == found[2] and found[1] == found[3]
+    assert sizes[1] < sizes[0] / 3
