@@ -18,6 +18,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.batches import ELEMENTS, list_pieces
 from ..session import literal_array
 
 # Executors get these functions with the job; they need not have the package installed.
@@ -48,7 +49,8 @@ def keep_members(words: Column, members: pa.Array) -> Column:
 
     @F.arrow_udf("array<string>")
     def keep(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        # members are hashed anew for every piece
+        for batch in list_pieces(batches, max(ELEMENTS, 2 * len(members))):
             flat = batch.flatten()
             known = pc.is_in(flat, value_set=members.cast(flat.type))
             kept_before = np.concatenate([[0], np.cumsum(known.to_numpy(zero_copy_only=False))])
@@ -66,7 +68,7 @@ def values_at(table: np.ndarray, indices: Column, inline_values: int = INLINE_VA
 
     @F.arrow_udf(f"array<{kind}>")
     def gather(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in list_pieces(batches):
             found = table[batch.flatten().to_numpy(zero_copy_only=False)]
             yield _lists(batch, _offsets(batch), pa.array(found))
 

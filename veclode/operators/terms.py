@@ -1,8 +1,8 @@
-"""Counting hashed terms, a batch of documents at a time.
+"""Counting hashed terms, a piece of a batch of documents at a time.
 
 Array expressions can do this inside a row as well, but interpret every character: on the
 same documents the Arrow function takes a fraction of the time. It hashes each distinct
-word of a batch once and counts by sorting.
+word of a piece once and counts by sorting.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.batches import list_pieces
+
 # Executors get these functions with the job; they need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -63,7 +65,7 @@ def count_terms(words: Column, num_features: int) -> Column:
 
     @F.arrow_udf("struct<size:int,indices:array<int>,values:array<double>>")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in list_pieces(batches):
             rows = len(batch)
             lengths = batch.value_lengths().fill_null(0).to_numpy().astype(np.int64)
             flat, row = batch.flatten(), np.repeat(np.arange(rows), lengths)
