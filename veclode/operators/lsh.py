@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from ..functions import vectors as V
+from ..functions.batches import row_pieces
 from ..session import cut_lineage
 from .lookup import lookup_join
 
@@ -360,18 +361,20 @@ def _bucket_column(
 
     @F.arrow_udf(kind)
     def hash_sparse(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        for sizes, indices, values in batches:
-            if set(sizes.unique().to_pylist()) - {dim, None}:
-                raise ValueError(f"every vector must have {dim} dimensions")
-            lengths = indices.value_lengths().fill_null(0).to_numpy().astype(np.int64)
-            dots = _sparse_dots(
-                indices.flatten().to_numpy(zero_copy_only=False),
-                values.flatten().to_numpy(zero_copy_only=False),
-                lengths,
-                coefficients,
-                members,
-            )
-            yield from_dots(dots)
+        for batch in batches:
+            for rows in row_pieces(batch[1].value_lengths()):
+                sizes, indices, values = (column[rows] for column in batch)
+                if set(sizes.unique().to_pylist()) - {dim, None}:
+                    raise ValueError(f"every vector must have {dim} dimensions")
+                lengths = indices.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+                dots = _sparse_dots(
+                    indices.flatten().to_numpy(zero_copy_only=False),
+                    values.flatten().to_numpy(zero_copy_only=False),
+                    lengths,
+                    coefficients,
+                    members,
+                )
+                yield from_dots(dots)
 
     buckets = hash_sparse.asNondeterministic()(vector["size"], vector["indices"], vector["values"])
     return F.when(vector.isNotNull(), buckets)
