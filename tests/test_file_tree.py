@@ -66,3 +66,14 @@ def test_files_written_come_back(spark, tmp_path):
     assert write_files(df, str(tmp_path / "w"), "name", "text") == 3
     read = {r["path"].split("/w/")[1]: bytes(r["value"]) for r in read_files(spark, str(tmp_path / "w")).collect()}
     assert read == {"a/_1": b"one", "a/.b/2": b"", "3": b""}
+
+
+def test_a_folder_is_given_out_in_pieces(tmp_path, monkeypatch):
+    for i in range(25):
+        (tmp_path / f"f{i:02}").write_text("x")
+    monkeypatch.setattr(file_tree, "LISTED_FILES", 10, raising=False)
+    reader = file_tree.FileTreeReader(tmp_path.as_uri(), 1)
+    batches = [b for part in reader.partitions() for b in reader.read(part)]
+    assert max(b.num_rows for b in batches) <= 10
+    names = [p.rpartition("/")[2] for b in batches for p in b.column(0).to_pylist()]
+    assert names == [f"f{i:02}" for i in range(25)]

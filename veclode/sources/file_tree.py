@@ -31,6 +31,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LISTING = "path string, length bigint"
 # Folders opened while planning, at most; what lies deeper is opened in tasks.
 PLANNED_FOLDERS = 256
+# Files given out at once while a folder is listed.
+LISTED_FILES = 10_000
 # Bytes of files read by a task, where single files are smaller.
 TASK_BYTES = 64 << 20
 # Bytes of contents handed on at once.
@@ -122,8 +124,8 @@ class FileTreeReader(DataSourceReader):
             folders, files = _children(system, todo.pop())
             if partition.deep:
                 todo.extend(reversed(folders))
-            if files:
-                yield self._batch(files, prefix)
+            for at in range(0, len(files), LISTED_FILES):
+                yield self._batch(files[at : at + LISTED_FILES], prefix)
 
     def _batch(self, files: list[pafs.FileInfo], prefix: str) -> pa.RecordBatch:
         paths = [prefix + quote(i.path, safe="/:!$&'()*+,;=@~-._") for i in files]
@@ -201,13 +203,13 @@ def write_files(df: DataFrame, root: str, name: str, text: str) -> int:
         system, folder, _ = _opened(whole)
         made, n = set(), 0
         for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                path = posixpath.join(folder, path)
+            for path, content in zip(*batch.columns):
+                path = posixpath.join(folder, path.as_py())
                 if (parent := posixpath.dirname(path)) not in made:
                     system.create_dir(parent, recursive=True)
                     made.add(parent)
                 with system.open_output_stream(path) as stream:
-                    stream.write(content or b"")
+                    stream.write(content.as_py() or b"")
                 n += 1
         yield pa.RecordBatch.from_arrays([pa.array([n])], ["n"])
 
