@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from veclode.functions.batches import ELEMENTS, list_pieces
 from veclode.operators import lsh, shipped, terms
-from veclode.operators.tfidf import hashing_tf
+from veclode.operators.tfidf import apply_idf, fit_idf, hashing_tf, keep_terms
 
 ROWS, WORDS = 40, 10_000
 
@@ -61,6 +61,25 @@ def test_elements_are_looked_up_in_pieces(spark, monkeypatch):
     assert {i: r["k"] for i, r in rows.items() if r["k"]} == {0: ["0_1"], 8: ["8_3"], 39: ["39_9999"]}
 
 
+def test_idf_and_kept_terms_work_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(terms, "string_hashes", bounded(terms.string_hashes, len))
+    monkeypatch.setattr(shipped, "_offsets", bounded(shipped._offsets, lambda b: len(b.flatten())))
+    width = 30_000  # sent to the tasks, not a constant
+    tf = hashing_tf(long_rows(spark), width).drop("words").localCheckpoint()
+    sets = [set(r["features"]["indices"]) for r in tf.collect() if r["features"]]
+    seen = Counter(i for s in sets for i in s)
+    idf = fit_idf(tf, width)
+    assert idf.documents == len(sets) and {r["idx"]: r["df"] for r in idf.table.collect()} == seen
+    wanted = sorted(seen)[::3]
+    listed = spark.createDataFrame([(i,) for i in wanted], "idx int")
+    weighted = apply_idf(tf, idf)
+    place = {i: k for k, i in enumerate(wanted)}
+    for remap in (False, True):
+        kept = keep_terms(weighted, listed, remap=remap).select("features.indices").collect()
+        expected = Counter(place[i] if remap else i for s in sets for i in s if i in place)
+        assert Counter(i for r in kept for i in r["indices"]) == expected
+
+
 def test_wide_vectors_are_hashed_in_pieces(spark, monkeypatch):
     params = lsh.generated_params("angle", 1 << 20, family_size=4, tables=2, chain=3, seed=5)
     vectors = hashing_tf(long_rows(spark), 1 << 20).drop("words")
