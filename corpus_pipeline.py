@@ -16,7 +16,7 @@ from veclode.llm.decontamination import decontaminate, is_contaminated
 from veclode.llm.jaccard_join import jaccard_components
 from veclode.llm.packing import pack
 from veclode.llm.queries import tokenizer_path
-from veclode.session import cut_lineage, release
+from veclode.session import bounded_batches, cut_lineage, release
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,6 +60,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets masked; ``n_chars`` follows a text that changed."""
+    bounded_batches(spark)
     clean = fresh_name(docs, "clean_")
     masked = docs.withColumn(clean, secret_scan.mask_secrets(F.col("text")))
     changed = F.col(clean) != F.col("text")

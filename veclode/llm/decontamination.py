@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veclode.llm.common import blocks, column, fresh_name, raw_bytes, row_ranges, stored
+from veclode.session import bounded_batches
 
 # Bytes of test text in one block of the test set: bounds what is sent to the tasks.
 BLOCK = 2 << 20
@@ -274,6 +275,7 @@ def decontaminate(
     hits; an item without an id has the id "". Repeated rows and keys are judged row by row.
     Other columns of either table are not read.
     """
+    bounded_batches(docs.sparkSession)
     parts = []
     for rows in _test_blocks(items, item_key, item_text, block_bytes):
         phrases = Phrases.of(rows, length)

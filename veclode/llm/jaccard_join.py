@@ -31,11 +31,13 @@ from pyspark.sql import types as T
 
 from veclode.llm.common import blocks, column, raw_bytes, row_ranges, stored
 from veclode.llm.components import components
+from veclode.session import bounded_batches
 
 N = 5  # words in a shingle
 WORD_BUCKETS = 1 << 24
 BLOCK_SETS = 1000  # sets in a block, about
 BLOCK_SHINGLES = 1_000_000  # shingles in a block, about
+COUNTED = 1 << 20  # word buckets counted in a task before they are given out, about
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _MIX = np.random.default_rng(9).integers(1 << 62, 1 << 63, N, dtype=np.uint64) * 2 + 1
@@ -107,17 +109,38 @@ def word_ranks(docs: DataFrame, text: str) -> np.ndarray:
     """For every word bucket the logarithm of its document frequency, in one byte."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = _Hashes(), np.zeros(WORD_BUCKETS, np.int32)
-        mask = np.uint64(WORD_BUCKETS - 1)
+        known, mask = _Hashes(), np.uint64(WORD_BUCKETS - 1)
+        buckets, counts, fresh = np.zeros(0, np.int32), np.zeros(0, np.int64), []
+
+        def merge() -> None:
+            nonlocal buckets, counts
+            some, n = np.unique(np.concatenate([buckets[:0], *fresh]), return_counts=True)
+            buckets, at = np.unique(np.concatenate([buckets, some]), return_inverse=True)
+            counts = np.bincount(at, np.concatenate([counts, n]), len(buckets)).astype(np.int64)
+            fresh.clear()
+
+        def give() -> Iterator[pa.RecordBatch]:
+            for a in range(0, len(buckets), 100_000):
+                part = slice(a, a + 100_000)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(buckets[part]), pa.array(counts[part].astype(np.int32))],
+                    names=["bucket", "n"],
+                )
+
+        waiting = 0
         for batch in batches:
             for text in raw_bytes(batch.column(0)):
-                counts[np.unique(word_hashes(split_words(text), known) & mask)] += 1
-        some = np.flatnonzero(counts)
-        for a in range(0, len(some), 100_000):
-            part = some[a : a + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part.astype(np.int32)), pa.array(counts[part])], names=["bucket", "n"]
-            )
+                hashes = word_hashes(split_words(text), known)
+                fresh.append(np.unique((hashes & mask).astype(np.int32)))
+                waiting += len(fresh[-1])
+                if waiting > max(COUNTED // 4, len(buckets)):
+                    merge()
+                    waiting = 0
+                    if len(buckets) > COUNTED:
+                        yield from give()
+                        buckets, counts = buckets[:0], counts[:0]
+        merge()
+        yield from give()
 
     counts = _texts(docs, text, count, "bucket int, n int").groupBy("bucket")
     rank = F.least(F.lit(255), F.round(8 * F.log2(F.sum("n"))) + 1).cast("short")
@@ -377,6 +400,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     links: its component is its own key. Null keys are not component ids unless a component
     has no other. Repeated rows come back repeatedly. Other columns are not read.
     """
+    bounded_batches(docs.sparkSession)
     rows = stored(classes_of(docs, key, text))
     classes = rows.where("cls IS NOT NULL").groupBy("cls").agg(
         F.min("key").alias("key"), F.first("n_shingles").alias("n")

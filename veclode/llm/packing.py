@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veclode.llm.common import blocks, column, raw_bytes, stored, with_rank
+from veclode.session import bounded_batches
 
 # Words whose ids a task remembers, in both generations together.
 REMEMBERED = 500_000
@@ -363,6 +364,7 @@ def pack(
     is its ``end`` token alone. Repeated rows are packed one by one. An empty table gives an
     empty table. ``with_ids`` adds the ids as little-endian 32-bit numbers.
     """
+    bounded_batches(docs.sparkSession)
     pieces = stored(token_pieces(docs, tokenizer_path, size, end, key, text, with_ids))
     pieces = pieces.withColumn("units", F.ceil(F.col("length") / unit).cast("int"))
     # at most size / unit rows

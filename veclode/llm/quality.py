@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veclode.llm.common import column, fresh_name, raw_bytes
+from veclode.session import bounded_batches
 
 STATS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -233,6 +234,7 @@ def fit_rules(
     same key the one with the least counts stands for it. Only counts of the sample reach the
     driver, one row for each chosen key.
     """
+    bounded_batches(docs.sparkSession)
     k, y = column(labels, key), column(labels, label)
     chosen = (
         labels.where(k.isNotNull() & y.isNotNull())
@@ -265,6 +267,7 @@ def judge(docs: DataFrame, rules: list[Rule], text: str = "text") -> tuple[DataF
     ``base_failed``: under 50 words, or over half of them in repeated three-word windows.
     A null or empty text has no words, hence fails. Every row is judged on its own.
     """
+    bounded_batches(docs.sparkSession)
     counted, name = fresh_name(docs, "stats_"), fresh_name(docs, "quality_")
     stats = F.col(counted)
     failed = (stats["n_words"] < 50) | (100 * stats["n_repeat_words"] > 50 * stats["n_words"])
