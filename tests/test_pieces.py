@@ -11,6 +11,7 @@ from veclode.operators import lsh, shipped, terms
 from veclode.operators.tfidf import apply_idf, fit_idf, hashing_tf, keep_terms
 
 ROWS, WORDS = 40, 10_000
+LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def long_rows(spark):
@@ -86,3 +87,35 @@ def test_wide_vectors_are_hashed_in_pieces(spark, monkeypatch):
     expected = lsh.lsh_index(vectors.repartition(20), params).select("id", "buckets").orderBy("id").collect()
     monkeypatch.setattr(lsh, "_sparse_dots", bounded(lsh._sparse_dots, len))
     assert lsh.lsh_index(vectors, params).select("id", "buckets").orderBy("id").collect() == expected
+
+
+def test_batches_are_bounded_in_bytes(spark, monkeypatch):
+    def checked(batches, *limit):
+        def small():
+            for batch in batches:
+                if batch.nbytes > 6 << 20:
+                    raise ValueError(f"a batch of {batch.nbytes} bytes")
+                yield batch
+
+        return list_pieces(small(), *limit)
+
+    monkeypatch.setattr(terms, "list_pieces", checked)
+    monkeypatch.setattr(shipped, "list_pieces", checked)
+    spark.conf.unset(LIMIT)
+    five = F.explode(F.sequence(F.lit(1), F.lit(5))).alias("copy")  # some 20 MB
+    tf = hashing_tf(long_rows(spark).select("*", five), 30_000).drop("words").localCheckpoint()
+    vectors = [r["features"] for r in tf.collect() if r["features"]]
+    assert [sum(v["values"]) for v in vectors] == [WORDS] * 5 * (ROWS - 1)
+    kept = keep_terms(tf, spark.range(30_000).selectExpr("cast(id AS int) idx"))
+    assert Counter(len(r["features"]["indices"]) for r in kept.collect()) == Counter(
+        len(v["indices"]) for v in vectors
+    )
+
+
+def test_a_limit_of_the_session_stays(spark):
+    spark.conf.set(LIMIT, "8m")
+    try:
+        hashing_tf(long_rows(spark), 100)
+        assert spark.conf.get(LIMIT) == "8m"
+    finally:
+        spark.conf.unset(LIMIT)

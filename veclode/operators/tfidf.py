@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as V
 from ..functions.arrays import let
-from ..session import cut_lineage
+from ..session import bounded_batches, cut_lineage
 from .columns import with_bound_column
 from .lookup import match_elements
 from .ranking import TAKE_ORDERED_ROWS, top_rows, with_row_index
@@ -37,6 +37,7 @@ def hashing_tf(
         return stage.transform(df).withColumn(out, V.from_ml_vector(F.col(out)))
     if hash != "string":
         raise ValueError(f"unknown hash {hash!r}")
+    bounded_batches(df.sparkSession)
     return df.withColumn(out, count_terms(F.col(words), num_features))
 
 
@@ -89,6 +90,7 @@ def apply_idf(
     unseen = math.log(idf.documents + 1)
     if idf.num_features * 8 <= shipped_bytes:
         dense = _dense(idf.table, "idf", idf.num_features, unseen)
+        bounded_batches(df.sparkSession)
         df = df.withColumn("_idf", values_at(dense, vector["indices"], inline_values))
     else:
         table = idf.table.select("idx", "idf")
@@ -177,6 +179,7 @@ def keep_terms(
         places[chosen] = np.arange(size) if remap else chosen
         # an index past the table's end is not among the terms
         known = F.transform(vector["indices"], lambda i: F.least(i, F.lit(len(places))))
+        bounded_batches(df.sparkSession)
         df = df.withColumn("_place", values_at(np.append(places, -1), known, inline_values))
     else:
         if remap:

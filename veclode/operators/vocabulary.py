@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, sql_strings, table_bytes
+from ..session import bounded_batches, cut_lineage, sql_strings, table_bytes
 from .columns import explode_elements, with_bound_column
 from .lookup import match_elements
 from .ranking import TAKE_ORDERED_ROWS, top_rows
@@ -63,6 +63,7 @@ def keep_vocab(
         pruned = F.expr(f"filter(`{words}`, w -> w IN ({sql_strings(kept)}))")
     elif size <= shipped_bytes:
         members = table.toArrow().column("word").combine_chunks()
+        bounded_batches(df.sparkSession)
         pruned = keep_members(F.col(words), members)
     else:
         matched = match_elements(df, F.col(words), table, "word", "_kept")
