@@ -3,12 +3,14 @@
 import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from veclode.llm import jaccard_join
+from veclode.llm import jaccard_join, packing
 from veclode.llm.quality import judge
 
 LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -57,3 +59,85 @@ def test_operators_bound_their_batches_in_bytes(spark):
         spark.conf.unset(LIMIT)
         run()
         assert int(spark.conf.get(LIMIT).rstrip("b")) <= 8 << 20
+
+
+def task_function(monkeypatch, build):
+    """The function over texts that ``build`` gives to Spark."""
+
+    def texts(docs, text, function, schema):
+        raise LookupError(function)
+
+    monkeypatch.setattr(jaccard_join, "_texts", texts)
+    with pytest.raises(LookupError) as caught:
+        build()
+    return caught.value.args[0]
+
+
+def test_tasks_get_word_ranks_in_little_memory(monkeypatch):
+    ranks = np.zeros(jaccard_join.WORD_BUCKETS, np.uint8)
+    words = sorted({w for t in TEXTS for w in (t or "").lower().encode().split()})
+    hashes = jaccard_join.word_hashes(words, jaccard_join._Hashes())
+    ranks[hashes & np.uint64(len(ranks) - 1)] = np.arange(len(words)) % 250 + 1
+    post = task_function(monkeypatch, lambda: jaccard_join._candidates(None, "text", ranks))
+    assert len(cloudpickle.dumps(post)) < 1 << 20
+    (found,) = post(iter([pa.record_batch([pa.array(TEXTS)], ["text"])]))
+    expected = []
+    for text in TEXTS[:500]:
+        own = jaccard_join.split_words(text.encode())
+        listed, _ = jaccard_join.prefix(own, jaccard_join.word_hashes(own, jaccard_join._Hashes()), ranks)
+        expected += listed.view(np.int64).tolist()
+    assert found["token"].to_pylist() == expected
+
+
+class Rows:
+    """Stands for a DataFrame and keeps the function that it is given."""
+
+    def __init__(self, docs):
+        self.schema, self.function = docs.schema, None
+
+    def __getitem__(self, name):
+        return name
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, function, schema):
+        self.function = function
+        return self
+
+
+class Task:
+    @staticmethod
+    def get():
+        return Task()
+
+    def partitionId(self):
+        return 0
+
+
+def test_texts_are_cut_into_words_in_little_memory(spark, monkeypatch):
+    path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    docs = spark.createDataFrame([], "doc_id bigint, text string")
+    monkeypatch.setattr(packing, "TaskContext", Task)
+    cut = packing.token_pieces(Rows(docs), path, 4096, 2, "doc_id", "text", False).function
+    texts = ["a few common words, and it's these again " * 100] * 1500  # 6 MB
+    batch = pa.record_batch([pa.array(range(1500)), pa.array(texts)], ["doc_id", "text"])
+    packing._tokenizer(path)
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        rows = sum(b.num_rows for b in cut(iter([batch])))
+        assert tracemalloc.get_traced_memory()[1] - before < 40 << 20
+    finally:
+        tracemalloc.stop()
+    assert rows == 1500
+
+
+def test_the_library_encodes_few_texts_at_once(monkeypatch):
+    path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
+    monkeypatch.setattr(packing, "ENCODED", 2)
+    few = packing.WordTokenizer(path)
+    texts = [f"word{i} Wörd {i} it's \u4e2d\u6587{i} <|endoftext|>"[: 12 + i] for i in range(300)]
+    expected = few.tokenizer.encode_batch(texts, add_special_tokens=False)
+    found = few([t.encode() for t in texts])
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [e.ids for e in expected]

@@ -47,7 +47,7 @@ class _Hashes(dict):
     """64-bit hashes of words, remembered for a bounded number of words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 200_000:
+        if len(self) >= 100_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -184,8 +184,12 @@ def _candidates(docs: DataFrame, text: str, ranks: np.ndarray) -> DataFrame:
     around its first set.
     """
 
+    # few buckets have a rank: a worker process would hold the plain table several times over
+    packed = zstandard.compress(ranks, 1)
+
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen = _Hashes(), set()
+        ranks = np.frombuffer(zstandard.decompress(packed), np.uint8)
         for batch in batches:
             texts = raw_bytes(batch.column(0))
             for a, b in blocks(texts):
@@ -264,7 +268,11 @@ def _member_texts(docs: DataFrame, text: str, members: DataFrame) -> DataFrame:
     packed = np.packbits(wanted).tobytes()
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, asked = set(), np.unpackbits(np.frombuffer(packed, np.uint8))
+        def asked(name: bytes) -> int:
+            bit = int.from_bytes(name[:_FILTER_BYTES])
+            return packed[bit >> 3] & 128 >> (bit & 7)
+
+        seen = set()
         compress = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             texts = raw_bytes(batch.column(0))
@@ -273,7 +281,7 @@ def _member_texts(docs: DataFrame, text: str, members: DataFrame) -> DataFrame:
                 for text in texts[a:b]:
                     words = split_words(text)
                     name = word_class(words)
-                    if name is None or name in seen or not asked[int.from_bytes(name[:_FILTER_BYTES])]:
+                    if name is None or name in seen or not asked(name):
                         continue
                     seen.add(name)
                     names.append(name)

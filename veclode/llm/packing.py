@@ -28,9 +28,12 @@ from veclode.llm.common import blocks, column, raw_bytes, stored, with_rank
 from veclode.session import bounded_batches
 
 # Words whose ids a task remembers, in both generations together.
-REMEMBERED = 500_000
-# Text cut into words at once inside a task; a longer text is cut alone.
-TOKENIZED_BYTES = 4 << 20
+REMEMBERED = 300_000
+# Text cut into words at once inside a task; a longer text is cut alone. Cutting and encoding
+# hold some forty times as much, and a worker process keeps most of that when it is done.
+TOKENIZED_BYTES = 1 << 20
+# Texts the library encodes at once: it holds about a hundred bytes a token.
+ENCODED = 256
 
 
 # The vocabulary's own word pattern, for text of ASCII and Latin letters up to U+024F folded
@@ -106,8 +109,8 @@ class WordTokenizer:
         self.final = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.final[i] = token.endswith("</w>")
-        # for words that are folded and cut already
-        self.words_only = Tokenizer.from_file(path)
+        # for words that are folded and cut already; the vocabulary is held once
+        self.words_only = Tokenizer(self.tokenizer.model)
         self.words_only.normalizer = normalizers.Sequence([])
         self.words_only.pre_tokenizer = pre_tokenizers.Sequence(
             [
@@ -118,11 +121,11 @@ class WordTokenizer:
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def _encode(self, texts: list[bytes], tokenizer=None) -> list[np.ndarray]:
-        encoded = (tokenizer or self.tokenizer).encode_batch_fast(
-            [t.decode() for t in texts], add_special_tokens=False
-        )
-        return [np.array(e.ids, "<u4") for e in encoded]
+    def _encode(self, texts: list[bytes], tokenizer=None) -> Iterator[np.ndarray]:
+        encode = (tokenizer or self.tokenizer).encode_batch_fast
+        for at in range(0, len(texts), ENCODED):
+            some = [t.decode() for t in texts[at : at + ENCODED]]
+            yield from [np.array(e.ids, "<u4") for e in encode(some, add_special_tokens=False)]
 
     def _learn(self, units: list[bytes]) -> None:
         if not _plain(b" ".join(units)):
@@ -166,7 +169,7 @@ class WordTokenizer:
 
     def _other_text(self, text: bytes) -> bytes:
         if self._spells_special(text):
-            return self._encode([text])[0].tobytes()
+            return next(self._encode([text])).tobytes()
         units = []
         for part in text.split():
             units.extend(_UNIT.findall(part.translate(_LOWER)) if _plain(part) else [part])
