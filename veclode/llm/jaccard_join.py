@@ -3,10 +3,12 @@
 A document's set holds its distinct shingles, in an order that puts those with rare words
 first. Documents with the same words are one class, and classes are joined:
 
-1. The first quarter of every set goes into index lists by shingle: two sets that are similar
-   enough share one of these. A list, sorted by set size, is read once and cut where sizes stop
-   being compatible, and each run between two such places gives a star of candidate edges.
-   Components of these edges hold every pair that can link.
+1. The first quarter of every set, and up to three shingles more, goes into index lists by
+   shingle: two sets that are similar enough share one of these, large sets up to four. A list,
+   sorted by set size, is read once. A set is paired with the last few of compatible size before
+   it, and such pairs have the lists they share counted; where more are compatible, the run they
+   form gives a star of candidate edges. Components of the stars and of the pairs that share
+   lists enough hold every pair that can link.
 2. The sets of a component are brought together in blocks of bounded size. In a block, one
    set's overlaps with all others are counted over full index lists; the next set's overlaps
    are derived from them by the shingles in which the two differ, if these are few.
@@ -38,6 +40,9 @@ WORD_BUCKETS = 1 << 24
 BLOCK_SETS = 1000  # sets in a block, about
 BLOCK_SHINGLES = 1_000_000  # shingles in a block, about
 COUNTED = 1 << 20  # word buckets counted in a task before they are given out, about
+SHARED = 4  # first shingles that large sets must share, at most
+WINDOW = 8  # index sets that a set is paired with one by one in a list
+LONG_LIST = 20_000  # postings of a list that a task holds, about
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _MIX = np.random.default_rng(9).integers(1 << 62, 1 << 63, N, dtype=np.uint64) * 2 + 1
@@ -150,11 +155,16 @@ def word_ranks(docs: DataFrame, text: str) -> np.ndarray:
     return ranks
 
 
+def least_shared(n):
+    """How many first shingles a set of ``n`` must share with a set of its own size or larger."""
+    return np.clip(n // 32, 1, SHARED)
+
+
 def prefix(words: list[bytes], hashes: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, int]:
     """The shingles of a set that go into the lists, in order, and the size of the set.
 
     A partner with three quarters of the union in common shares at least three quarters of
-    this set, hence a shingle among the first size - ceil(3/4 size) + 1 in any fixed order;
+    this set, hence k shingles among the first size - ceil(3/4 size) + k in any fixed order;
     here by the frequency of the rarest word, then by hash.
     """
     h = shingle_hashes(words, hashes)
@@ -166,22 +176,108 @@ def prefix(words: list[bytes], hashes: np.ndarray, ranks: np.ndarray) -> tuple[n
             rank = np.minimum(rank, own[k : len(h) + k])
     h, at = np.unique(h, return_index=True)
     n = len(h)
-    return h[np.lexsort((h, rank[at]))[: n + 1 - -(-3 * n // 4)]], n
+    return h[np.lexsort((h, rank[at]))[: n + least_shared(n) - -(-3 * n // 4)]], n
 
 
 def index_length(n):
-    """How many first shingles of a set of ``n`` can be the first it shares with a set of its
+    """How many first shingles of a set of ``n`` can be the first few it shares with a set of its
     own size or larger: such a pair has at least 6/7 of the smaller set in common."""
-    return n + 1 - -(-6 * n // 7)
+    return n + least_shared(n) - -(-6 * n // 7)
+
+
+def _edges(a: np.ndarray, b: np.ndarray, n: np.ndarray, shared: np.ndarray, names) -> list[pa.RecordBatch]:
+    """Edges between rows with these names: a's set must share ``need`` lists with b's."""
+    edges = pa.table(
+        {
+            "a": names.take(pa.array(a)),
+            "b": names.take(pa.array(b)),
+            "need": pa.array(least_shared(n[a]).astype(np.int32)),
+            "shared": pa.array(shared.astype(np.int32)),
+        }
+    )
+    counted = edges.group_by(["a", "b", "need"]).aggregate([("shared", "sum")])
+    return counted.rename_columns(["a", "b", "need", "shared"]).to_batches()
+
+
+def list_edges(lists: pa.RecordBatch) -> list[pa.RecordBatch]:
+    """Edges of whole lists: token, n, late, cls, in this order.
+
+    A set can link with the smaller ones in a list, if they hold the shingle among their index
+    shingles and are not too small. ``WINDOW`` of these, the last before it, are paired with the
+    set. If there are more, all from there to the set are joined to one star, whose edges need
+    no counting.
+    """
+    if not lists.num_rows:
+        return []
+    token, codes = lists.column(0).to_numpy(), lists.column(3).dictionary_encode().indices.to_numpy()
+    again = (token[1:] == token[:-1]) & (codes[1:] == codes[:-1])  # a copy from another task
+    kept = np.flatnonzero(np.append(True, ~again))
+    same = token[kept[1:]] == token[kept[:-1]]
+    kept = kept[np.append(same, False) | np.append(False, same)]
+    if not len(kept):
+        return []
+    token, names = token[kept], lists.column(3).take(pa.array(kept))
+    n = lists.column(1).to_numpy()[kept].astype(np.int64)
+    early = ~lists.column(2).to_numpy(zero_copy_only=False)[kept]
+    rows, index = np.arange(len(token)), np.flatnonzero(early)
+    before = np.cumsum(early) - early  # index sets before each row
+
+    def nearby(k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k-th index set before each row, and whether the row can link with it."""
+        at = index[np.maximum(before - k, 0)] if len(index) else rows
+        return at, (before >= k) & (token[at] == token) & (4 * n[at] >= 3 * n)
+
+    full = nearby(WINDOW + 1)[1]
+    # whether an index set is in one star with the one before
+    bounds = np.zeros(len(index) + 1, np.int64)
+    np.add.at(bounds, before[full] - WINDOW, 1)
+    np.add.at(bounds, (before + early)[full], -1)
+    joined = np.cumsum(bounds[:-1]) > 0
+    star = np.maximum.accumulate(np.where(joined, 0, np.arange(len(index))))
+    # the star of each row; late rows are ends of one if they are full
+    own = np.full(len(rows), -1)
+    own[index] = star
+    ends = full & ~early
+    own[ends] = star[before[ends] - 1]
+    starred = np.append(index[joined], rows[ends])
+    a, b, shared = [index[own[starred]]], [starred], [np.full(len(starred), SHARED)]
+    for k in range(1, WINDOW + 1):
+        at, near = nearby(k)
+        near &= own[at] != own
+        a.append(at[near])
+        b.append(rows[near])
+        shared.append(np.ones(near.sum(), np.int64))
+    return _edges(*map(np.concatenate, (a, b)), n, np.concatenate(shared), names)
+
+
+def star_edges(part: pa.RecordBatch, last: tuple | None) -> tuple[list[pa.RecordBatch], tuple | None]:
+    """Edges of a part of one list that is too long to be held: a star for every run of sets
+    whose sizes are compatible from each to the next. ``last``: the last index set's size and
+    the first set of its run, at the end of the part before; given for this part too."""
+    n, early = part.column(1).to_numpy().astype(np.int64), ~part.column(2).to_numpy(zero_copy_only=False)
+    names = part.column(3)
+    if last is not None:  # it stands before the part
+        n, early = np.append(last[0], n), np.append(True, early)
+        names = pa.concat_arrays([last[1], names])
+    place = np.arange(len(n))
+    before = np.maximum.accumulate(np.where(early, place, -1))
+    before = np.append(-1, before[:-1])
+    near = (before >= 0) & (4 * n[before] >= 3 * n)
+    first = np.maximum.accumulate(np.where(early & ~near, place, 0))
+    rows = np.flatnonzero(near)
+    found = _edges(first[before[rows]], rows, n, np.full(len(rows), SHARED), names)
+    if early.any():
+        end = int(np.flatnonzero(early)[-1])
+        last = int(n[end]), names.slice(int(first[end]), 1)
+    return found, last
 
 
 def _candidates(docs: DataFrame, text: str, ranks: np.ndarray) -> DataFrame:
     """Candidate edges (a, b) whose components hold every pair that can link.
 
-    A list goes from small to large sets. A set can link with the smaller ones in it, if they
-    hold the shingle among their index shingles and are not too small. No posting is skipped:
-    runs end where a size step is too great, and what lies between two such places is one star
-    around its first set.
+    Every pair that can link shares as many lists as its smaller set needs, or is in one star
+    (see :func:`list_edges`). Chance pairs of large sets share one list, seldom two: without the
+    count they would join most large sets of a large table to one component.
     """
 
     # few buckets have a rank: a worker process would hold the plain table several times over
@@ -218,36 +314,38 @@ def _candidates(docs: DataFrame, text: str, ranks: np.ndarray) -> DataFrame:
                         names=["token", "n", "late", "cls"],
                     )
 
-    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # the last index set of the list, its size, and the first set of its run
-        last_token, last_n, leader = None, 0, pa.array([None], pa.binary())
-        for batch in batches:
-            if not batch.num_rows:
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, long, last = None, None, None  # the last list; one too long, and its last index set
+        for rows in batches:
+            if not rows.num_rows:
                 continue
-            token, n = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
-            early = ~batch.column(2).to_numpy(zero_copy_only=False)
-            place = np.arange(1, len(token) + 1)  # 0 is the set carried over
-            # the last index set before each row, and whether it is near enough
-            before = np.maximum.accumulate(np.where(early, place, 0))
-            before = np.concatenate([[0], before[:-1]])
-            tokens = np.concatenate([[last_token if last_token is not None else ~token[0]], token])
-            sizes = np.concatenate([[last_n], n])
-            near = (tokens[before] == token) & (4 * sizes[before] >= 3 * n)
-            first = np.maximum.accumulate(np.where(early & ~near, place, 0))
-            leads = np.concatenate([[0], first])[before]
-            names = pa.concat_arrays([leader, batch.column(3)])
-            pairs = pa.table(
-                {"a": names.take(pa.array(leads[near])), "b": batch.column(3).filter(pa.array(near))}
-            )
-            yield from pairs.group_by(["a", "b"]).aggregate([]).select(["a", "b"]).to_batches()
-            if early.any():
-                last = int(np.flatnonzero(early)[-1])
-                last_token, last_n = token[last], int(n[last])
-                leader = names.slice(int(first[last]), 1)
+            if long is not None:
+                on = int(np.searchsorted(rows.column(0).to_numpy(), long, "right"))
+                if on:
+                    found, last = star_edges(rows.slice(0, on), last)
+                    yield from found
+                rows = rows.slice(on)
+                if not rows.num_rows:
+                    continue
+                long, last = None, None
+            rows = pa.concat_batches([held, rows]) if held else rows
+            token = rows.column(0).to_numpy()
+            begin = int(np.searchsorted(token, token[-1]))
+            yield from list_edges(rows.slice(0, begin))
+            held = rows.slice(begin)
+            if held.num_rows > LONG_LIST:
+                long = token[-1]
+                found, last = star_edges(held, None)
+                yield from found
+                held = None
+        if held:
+            yield from list_edges(held)
 
     lists = _texts(docs, text, post, "token bigint, n int, late boolean, cls binary")
     dealt = lists.repartition("token").sortWithinPartitions("token", "n", "late", "cls")
-    return dealt.mapInArrow(stars, "a binary, b binary").where("a <> b").distinct()
+    found = dealt.mapInArrow(edges, "a binary, b binary, need int, shared bigint").where("a <> b")
+    counted = found.groupBy("a", "b").agg(F.min("need").alias("need"), F.sum("shared").alias("shared"))
+    return counted.where("shared >= need").select("a", "b")
 
 
 # A class passes the filter if the bit that its first three bytes name is set.
